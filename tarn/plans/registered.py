@@ -141,3 +141,100 @@ SELECT DISTINCT id, site AS site_id, variable AS variable_id, error, status_code
 FROM lwq_data""")
 def q_dim_error(spark, sf):
     return marts.dim_error(td.raw_records(spark, sf), with_clock=False)
+
+
+# --- store: upsert, history, insert-if-absent, keep-first, evolution ---------
+
+LINE_SQL = f"""
+li AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) AS id,
+    l_returnflag AS council, l_quantity, l_shipdate FROM lineitem),
+tgt AS (
+  SELECT id, CAST(CAST(max(l_quantity) AS DECIMAL(18,2)) AS VARCHAR) AS value,
+    min(council) AS council, max(l_shipdate) AS created_at
+  FROM li WHERE l_shipdate < TIMESTAMP '{td.TARGET_END}' GROUP BY id)"""
+
+
+def _src_sql(bump: str) -> str:
+    return f""",
+src AS (
+  SELECT id, CAST(CAST(min(l_quantity) + {bump} AS DECIMAL(18,2)) AS VARCHAR) AS value,
+    min(council) AS council
+  FROM li WHERE l_shipdate >= TIMESTAMP '{td.SOURCE_START}' GROUP BY id)"""
+
+
+K4_SQL = "WITH " + LINE_SQL + _src_sql("1.0") + f"""
+SELECT s.id, s.value, s.council,
+  CASE WHEN t.id IS NOT NULL THEN t.created_at ELSE TIMESTAMP '{td.UPSERT_BATCH_TS}' END AS created_at,
+  CASE WHEN t.id IS NOT NULL THEN TIMESTAMP '{td.UPSERT_BATCH_TS}' END AS updated_at
+FROM src s LEFT JOIN tgt t ON s.id = t.id
+UNION ALL
+SELECT t.id, t.value, t.council, t.created_at, CAST(NULL AS TIMESTAMP) AS updated_at
+FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.id = t.id)"""
+
+
+@register("K4_upsert", K4_SQL)
+def q_upsert(spark, sf):
+    from tarn.operators.store import upsert
+    return upsert(td.upsert_target(spark, sf), td.upsert_source(spark, sf, bump=1.0),
+                  "id", td.UPSERT_BATCH_TS)
+
+
+K5_SQL = "WITH " + LINE_SQL + _src_sql("0.0") + f"""
+SELECT t.id, t.value, t.council, t.created_at, TIMESTAMP '{td.UPSERT_BATCH_TS}' AS updated_at
+FROM tgt t JOIN src s ON t.id = s.id WHERE t.value != s.value"""
+
+
+@register("K5_history", K5_SQL)
+def q_history(spark, sf):
+    from tarn.operators.store import history_rows
+    return history_rows(td.upsert_target(spark, sf), td.upsert_source(spark, sf),
+                        "id", "value", td.UPSERT_BATCH_TS)
+
+
+K6_SQL = "WITH " + LINE_SQL + _src_sql("0.0") + """
+SELECT id, value, council, created_at FROM tgt
+UNION ALL
+SELECT s.id, s.value, s.council, CAST(NULL AS TIMESTAMP) AS created_at
+FROM src s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.id = s.id)"""
+
+
+@register("K6_insert_if_absent", K6_SQL)
+def q_insert_missing(spark, sf):
+    from tarn.operators.store import insert_missing
+    return insert_missing(td.upsert_target(spark, sf), td.upsert_source(spark, sf), "id")
+
+
+A6_SQL = """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
+    l_shipdate NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST,
+    l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST,
+    l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) AS rn
+  FROM lineitem) WHERE rn = 1"""
+
+
+@register("A6_keep_first", A6_SQL)
+def q_keep_first(spark, sf):
+    from tarn.operators.dedup import keep_first
+    li = td.table(spark, sf, "lineitem")
+    return keep_first(li, ["l_orderkey", "l_linenumber"],
+                      ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"])
+
+
+K7_SQL = """
+SELECT event_id, ts, user_id, CAST(NULL AS VARCHAR) AS event_type, CAST(NULL AS DOUBLE) AS value
+FROM events WHERE ts < TIMESTAMP '2024-01-15'
+UNION ALL
+SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts >= TIMESTAMP '2024-01-15'"""
+
+
+@register("K7_schema_evolution", K7_SQL)
+def q_evolve(spark, sf):
+    """Loads before 2024-01-15 carried three columns; later ones five."""
+    from tarn.operators.store import evolve
+    ev = td.table(spark, sf, "events")
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    old = ev.filter(F.col("ts") < cut).select("event_id", "ts", "user_id")
+    new = ev.filter(F.col("ts") >= cut).select("event_id", "ts", "user_id", "event_type", "value")
+    return evolve(old, new)
