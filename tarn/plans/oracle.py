@@ -134,3 +134,73 @@ fr AS (
                  WHEN position('greater' IN censored) > 0 THEN value_numeric * 1.1
                  ELSE value_numeric END AS adjusted_value
   FROM fr0)"""
+
+EV_PAGED = EV_SITE + """,
+ev AS (
+  SELECT *, strftime(ts, '%Y-%m-%d') AS day, event_id // 256 AS page,
+    'https://' || council || '.example.org/sos?service=SOS&request=GetObservation'
+      || '&From=' || strftime(ts, '%Y-%m-%d') || '&To=2030-01-01&Site=' || CAST(user_id AS VARCHAR)
+      || '&Measurement=' || event_type || '&Page=' || CAST(event_id // 256 AS VARCHAR) AS url
+  FROM ev_site)"""
+
+S1 = "WITH " + EV_PAGED + """
+SELECT url, 200 AS status_code, CAST(NULL AS VARCHAR) AS error, CAST(user_id AS VARCHAR) AS site,
+  event_type AS variable, council,
+  CASE WHEN event_id % 37 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%g')
+       WHEN event_id % 2 = 0 THEN strftime(ts, '%Y%m%dT%H%M%S')
+       ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS t,
+  CASE WHEN event_id % 11 = 0 THEN '<' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR)
+       WHEN event_id % 13 = 0 THEN '>' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR)
+       WHEN event_id % 17 = 0 THEN 'None'
+       WHEN event_id % 19 = 0 THEN 'NA'
+       WHEN event_id % 23 = 0 THEN '*'
+       WHEN event_id % 29 = 0 THEN ''
+       ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS value,
+  CAST(event_id AS VARCHAR) AS event_id, props
+FROM ev WHERE event_type <> 'error'
+UNION ALL
+SELECT url, CASE WHEN min(value) < 5 THEN 200 ELSE 500 END AS status_code,
+  CASE WHEN min(value) < 5 THEN 'No data found' ELSE 'HTTP error: 500' END AS error,
+  CAST(user_id AS VARCHAR) AS site, event_type AS variable, council, 'missing' AS t,
+  CAST(NULL AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS event_id, CAST(NULL AS VARCHAR) AS props
+FROM ev WHERE event_type = 'error'
+GROUP BY url, council, user_id, event_type"""
+
+S2 = "WITH " + EV_PAGED + """
+SELECT url, CASE WHEN event_type = 'error' AND min(value) >= 5 THEN 500 ELSE 200 END AS status_code,
+  CASE WHEN event_type = 'error' AND min(value) < 5 THEN 'No data found'
+       WHEN event_type = 'error' THEN 'HTTP error: 500' END AS error,
+  CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS n_rows
+FROM ev GROUP BY url, event_type"""
+
+S3 = """WITH geo AS (
+  SELECT n_nationkey, n_regionkey, lower(n_name) AS council, r_name
+  FROM nation JOIN region ON n_regionkey = r_regionkey),
+s AS (
+  SELECT s.*, geo.*,
+    '-' || CAST(s_nationkey + 35 AS VARCHAR) || '.' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS lat,
+    CAST(n_regionkey + 166 AS VARCHAR) || '.' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS lon,
+    bool_or(s_acctbal > 0) OVER (PARTITION BY council) AS any_ltype,
+    bool_or(s_acctbal >= 0) OVER (PARTITION BY council) AS any_pos
+  FROM supplier s JOIN geo ON s_nationkey = n_nationkey)
+SELECT CAST(s_suppkey AS VARCHAR) AS councilsiteid, s_name AS siteid,
+  'lawa-' || council || '-' || CAST(s_suppkey AS VARCHAR) AS lawasiteid,
+  CAST(NULL AS VARCHAR) AS lfenzid,
+  CASE WHEN s_acctbal > 0 THEN 'Shallow' WHEN any_ltype THEN '-99999' END AS ltype,
+  CAST(NULL AS VARCHAR) AS geomorphicltype, r_name AS region, council AS agency,
+  s_name || ' & Co' AS catchment,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'Yes' ELSE 'No' END AS lwquality,
+  '-99999' AS macro, CAST(NULL AS VARCHAR) AS swquality,
+  CASE WHEN s_acctbal >= 0 AND s_suppkey % 7 <> 0 THEN lat WHEN any_pos THEN '-99999' END AS latitude,
+  CASE WHEN s_acctbal >= 0 AND s_suppkey % 7 <> 0 THEN lon WHEN any_pos THEN '-99999' END AS longitude,
+  council,
+  'https://' || council || '.example.org/wfs?service=WFS&request=GetFeature&startIndex='
+    || CAST((s_suppkey // 500) * 500 AS VARCHAR) AS url,
+  'success' AS status, council AS partition_key
+FROM s"""
+
+ROUTED = SITES.replace(",\nsites AS (", ",\nunused AS (") + """,
+routed AS (
+  SELECT 'lwq' AS module, * FROM catalog WHERE lower(lwquality) IN ('y', 'yes', 'true')
+  UNION ALL SELECT 'mac' AS module, * FROM catalog WHERE lower(macro) IN ('y', 'yes', 'true')
+  UNION ALL SELECT 'swq' AS module, * FROM catalog WHERE lower(swquality) IN ('y', 'yes', 'true'))"""

@@ -238,3 +238,36 @@ def q_evolve(spark, sf):
     old = ev.filter(F.col("ts") < cut).select("event_id", "ts", "user_id")
     new = ev.filter(F.col("ts") >= cut).select("event_id", "ts", "user_id", "event_type", "value")
     return evolve(old, new)
+
+
+# --- landing: XML measurement responses, GML site catalogs -------------------
+
+@register("S1_xml_explode", O.S1)
+def q_xml_explode(spark, sf):
+    """Round trip: events -> landed XML responses -> rows equal to events."""
+    from tarn.sources.landing import explode_responses
+    rows = explode_responses(td.landed_responses(spark, sf))
+    return rows.select("url", "status_code", "error", "site", "variable", "council", "t", "value",
+                       F.col("params")["EventId"].alias("event_id"),
+                       F.col("params")["Props"].alias("props"))
+
+
+@register("S2_response_classes", O.S2)
+def q_response_classes(spark, sf):
+    from tarn.sources.landing import explode_responses
+    rows = explode_responses(td.landed_responses(spark, sf))
+    return rows.groupBy("url", "status_code", "error").agg(
+        F.count_if(F.col("error").isNull()).alias("n_rows"))
+
+
+@register("S3_gml_sites", O.S3)
+def q_gml_sites(spark, sf):
+    """Round trip: suppliers -> GML catalog pages -> typed site rows."""
+    from tarn.sources.catalog import parse_catalog
+    return parse_catalog(td.landed_catalogs(spark, sf))
+
+
+@register("P3_route_modules", "WITH " + O.ROUTED + " SELECT *, 'yes' AS lawa_site FROM routed")
+def q_route_modules(spark, sf):
+    from tarn.operators.sites import route_all_modules
+    return route_all_modules(td.site_catalog(spark, sf))

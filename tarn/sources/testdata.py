@@ -207,3 +207,117 @@ def upsert_source(spark: SparkSession, sf_dir: str, bump: float = 0.0) -> DataFr
     return (v.groupBy("id")
             .agg((F.min("l_quantity") + F.lit(bump)).cast("decimal(18,2)").cast("string").alias("value"),
                  F.min("council").alias("council")))
+
+
+# --- landed bodies (round-trip adaptors for S1-S5) ----------------------------
+
+PAGE_EVENTS = 256      # events per measurement response page
+PAGE_SITES = 500       # features per catalog page
+CATALOG_TS = "2024-01-01 00:00:00"
+
+
+def xml_text(c):
+    """Escape text for an XML element or attribute ('&' first)."""
+    for ch, ent in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        c = F.replace(c, F.lit(ch), F.lit(ent))
+    return c
+
+
+def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX1: one landed response per (site, variable, day, page) of events.
+    Error-type groups are failed requests: HTTP 500, or 200 with an empty
+    `Data` block when their smallest value is under 5."""
+    ev = _site_of_event(spark, sf_dir).select(
+        "event_id", "ts", "user_id", "event_type", "value", "props", "council")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    page = F.floor(F.col("event_id") / F.lit(PAGE_EVENTS))
+    eid = F.col("event_id")
+    num = F.col("value").cast("decimal(18,2)").cast("string")
+    value = (F.when(eid % 11 == 0, F.concat(F.lit("<"), num))
+             .when(eid % 13 == 0, F.concat(F.lit(">"), num))
+             .when(eid % 17 == 0, F.lit("None"))
+             .when(eid % 19 == 0, F.lit("NA"))
+             .when(eid % 23 == 0, F.lit("*"))
+             .when(eid % 29 == 0, F.lit(""))
+             .otherwise(num))
+    t = (F.when(eid % 37 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+         .when(eid % 2 == 0, F.date_format("ts", S.TIME_FORMAT_COMPACT))
+         .otherwise(F.date_format("ts", S.TIME_FORMAT_ISO)))
+    frag = F.concat(
+        F.lit("<E><T>"), t, F.lit("</T><Value>"), xml_text(value),
+        F.lit('</Value><Parameter Name="EventId" Value="'), eid.cast("string"),
+        F.lit('"/><Parameter Name="Props" Value="'), xml_text(F.col("props")), F.lit('"/></E>'))
+    grouped = (ev.select("council", F.col("user_id").cast("string").alias("site"),
+                         F.col("event_type").alias("variable"), day.alias("day"), page.alias("page"),
+                         "value", F.struct(eid.alias("k"), frag.alias("frag")).alias("e"))
+               .groupBy("council", "site", "variable", "day", "page")
+               .agg(F.min("value").alias("min_value"),
+                    F.array_sort(F.collect_list("e")).alias("es")))
+    failed = F.col("variable") == "error"
+    empty = failed & (F.col("min_value") < 5)
+    data = F.when(failed, F.lit("")).otherwise(F.array_join(F.col("es.frag"), ""))
+    body = F.concat(
+        F.lit('<?xml version="1.0" encoding="UTF-8"?><Hilltop><Agency>'), F.col("council"),
+        F.lit('</Agency><Measurement SiteName="'), F.col("site"),
+        F.lit('"><DataSource Name="'), F.col("variable"),
+        F.lit('"/><Data DateFormat="Calendar">'), data, F.lit("</Data></Measurement></Hilltop>"))
+    url = F.concat(sos_root(F.col("council")), F.lit("&From="), F.col("day"), F.lit("&To="),
+                   F.lit(S.DEFAULT_DATE_END), F.lit("&Site="), F.col("site"),
+                   F.lit("&Measurement="), F.col("variable"), F.lit("&Page="), F.col("page").cast("string"))
+    return grouped.select(
+        url.alias("url"), "site", "variable",
+        F.when(failed & ~empty, F.lit(500)).otherwise(F.lit(200)).alias("status_code"),
+        F.when(failed & ~empty, F.lit("Service Unavailable")).otherwise(body).alias("body"),
+        "council", F.col("day").alias("date_start"), F.lit(S.DEFAULT_DATE_END).alias("date_end"))
+
+
+def landed_catalogs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX2: GML catalog pages of suppliers-as-sites, one per (council, page),
+    plus a failed fetch for every council of region 4."""
+    sup = table(spark, sf_dir, "supplier")
+    nation = table(spark, sf_dir, "nation")
+    region = table(spark, sf_dir, "region")
+    geo = dim_join(nation, region, nation.n_regionkey == region.r_regionkey, "inner").select(
+        "n_nationkey", "n_regionkey", council_col().alias("council"), "r_name")
+    s = dim_join(sup, geo, sup.s_nationkey == geo.n_nationkey, "inner")
+    key = F.col("s_suppkey").cast("string")
+    frac = F.lpad(key, 6, "0")
+    lat = F.concat(F.lit("-"), (F.col("s_nationkey") + F.lit(35)).cast("string"), F.lit("."), frac)
+    lon = F.concat((F.col("n_regionkey") + F.lit(166)).cast("string"), F.lit("."), frac)
+    pos = F.when(F.col("s_suppkey") % 7 == 0, F.concat(lat, F.lit(" "), lon, F.lit(" 0"))) \
+           .otherwise(F.concat(lat, F.lit(" "), lon))
+    feature = F.concat(
+        F.lit('<gml:featureMember><lawa:LakeSites gml:id="s'), key, F.lit('">'),
+        F.lit("<lawa:CouncilSiteID>"), key, F.lit("</lawa:CouncilSiteID>"),
+        F.lit("<lawa:SiteID>"), xml_text(F.col("s_name")), F.lit("</lawa:SiteID>"),
+        F.lit("<lawa:LawaSiteID>lawa-"), F.col("council"), F.lit("-"), key, F.lit("</lawa:LawaSiteID>"),
+        F.when(F.col("s_acctbal") > 0, F.lit("<lawa:LType>Shallow</lawa:LType>")).otherwise(F.lit("")),
+        F.lit("<lawa:Region>"), xml_text(F.col("r_name")), F.lit("</lawa:Region>"),
+        F.lit("<lawa:Agency>"), F.col("council"), F.lit("</lawa:Agency>"),
+        F.lit("<lawa:Catchment>"), xml_text(F.concat(F.col("s_name"), F.lit(" & Co"))), F.lit("</lawa:Catchment>"),
+        F.lit("<lawa:LWQuality>"), F.when(F.col("s_suppkey") % 3 == 0, F.lit("Yes")).otherwise(F.lit("No")),
+        F.lit("</lawa:LWQuality>"),
+        F.lit("<lawa:Macro/>"),
+        F.when(F.col("s_acctbal") >= 0, F.concat(
+            F.lit("<lawa:Shape><gml:Point><gml:pos>"), pos, F.lit("</gml:pos></gml:Point></lawa:Shape>"))
+        ).otherwise(F.lit("")),
+        F.lit("</lawa:LakeSites></gml:featureMember>"))
+    page = F.floor(F.col("s_suppkey") / F.lit(PAGE_SITES))
+    pages = (s.select("council", page.alias("page"),
+                      F.struct(F.col("s_suppkey").alias("k"), feature.alias("f")).alias("feat"))
+             .groupBy("council", "page").agg(F.array_sort(F.collect_list("feat")).alias("fs")))
+    body = F.concat(
+        F.lit('<?xml version="1.0" encoding="UTF-8"?><wfs:FeatureCollection '
+              'xmlns:wfs="http://www.opengis.net/wfs" xmlns:gml="http://www.opengis.net/gml" '
+              'xmlns:lawa="urn:example:lawa"><!-- sites --><gml:boundedBy/>'),
+        F.array_join(F.col("fs.f"), ""), F.lit("</wfs:FeatureCollection>"))
+    url = F.concat(wfs_root(F.col("council")), F.lit("&startIndex="),
+                   (F.col("page") * F.lit(PAGE_SITES)).cast("string"))
+    ok = pages.select("council", url.alias("url"), F.lit("success").alias("status"),
+                      F.col("council").alias("partition_key"), F.lit(CATALOG_TS).alias("creation_date"),
+                      body.alias("raw_data"))
+    bad = geo.filter(F.col("n_regionkey") == 4).select(
+        "council", wfs_root(F.col("council")).alias("url"), F.lit("failed").alias("status"),
+        F.col("council").alias("partition_key"), F.lit(CATALOG_TS).alias("creation_date"),
+        F.lit("Service Unavailable").alias("raw_data"))
+    return ok.unionByName(bad)
