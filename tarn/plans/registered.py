@@ -271,3 +271,235 @@ def q_gml_sites(spark, sf):
 def q_route_modules(spark, sf):
     from tarn.operators.sites import route_all_modules
     return route_all_modules(td.site_catalog(spark, sf))
+
+
+# --- dashboard views ---------------------------------------------------------
+
+VIEW_COUNCIL = "nation_1"     # the council picked in the dashboard
+VIEW_VARIABLE = "CLICK"       # the parameter picked in the dashboard
+
+
+@register("V1_site_list", "WITH " + O.SITES + f" SELECT * FROM sites WHERE council = '{VIEW_COUNCIL}'")
+def q_site_list(spark, sf):
+    from tarn.plans.serving import site_list
+    return site_list(td.sites_latest(spark, sf), VIEW_COUNCIL)
+
+
+@register("V2_load_log", A2_SQL.replace("FROM fr GROUP BY", f"FROM fr WHERE council = '{VIEW_COUNCIL}' GROUP BY"))
+def q_load_log(spark, sf):
+    from tarn.plans.serving import load_log
+    return load_log(diagnostics(spark, sf), VIEW_COUNCIL)
+
+
+V3_SQL = (f"SELECT * FROM ({A1_SQL}) q WHERE council = '{VIEW_COUNCIL}' AND variable = '{VIEW_VARIABLE}'")
+
+
+@register("V3_parameter_view", V3_SQL)
+def q_parameter_view(spark, sf):
+    from tarn.plans.serving import parameter_view
+    return parameter_view(summary(spark, sf), VIEW_COUNCIL, VIEW_VARIABLE)
+
+
+@register("A3_site_metrics", f"""
+SELECT (SELECT count(*) FROM (SELECT DISTINCT siteid, lawasiteid, councilsiteid FROM ({"WITH " + O.SITES + " SELECT * FROM sites"}) a)) AS sites_published,
+       (SELECT count(*) FROM (SELECT DISTINCT siteid, lawasiteid, councilsiteid FROM ({V3_SQL}) b)) AS sites_with_data""")
+def q_site_metrics(spark, sf):
+    from tarn.plans.serving import parameter_view, site_metrics
+    return site_metrics(td.sites_latest(spark, sf),
+                        parameter_view(summary(spark, sf), VIEW_COUNCIL, VIEW_VARIABLE))
+
+
+V4_SQL = f"""
+SELECT * REPLACE (
+    CASE WHEN regexp_matches(latitude, '{O.NUMERIC_RE}') THEN TRY_CAST(latitude AS DOUBLE) END AS latitude,
+    CASE WHEN regexp_matches(longitude, '{O.NUMERIC_RE}') THEN TRY_CAST(longitude AS DOUBLE) END AS longitude),
+  average_value * 10 AS average_size
+FROM ({V3_SQL}) v WHERE average_value IS NOT NULL"""
+
+
+@register("V4_map_points", V4_SQL)
+def q_map_points(spark, sf):
+    from tarn.plans.serving import map_points, parameter_view
+    return map_points(parameter_view(summary(spark, sf), VIEW_COUNCIL, VIEW_VARIABLE))
+
+
+@register("O4_map_centre", f"SELECT latitude, longitude FROM ({V4_SQL}) p "
+                           "ORDER BY councilsiteid, siteid, lawasiteid LIMIT 1")
+def q_map_centre(spark, sf):
+    from tarn.plans.serving import map_centre, map_points, parameter_view
+    return map_centre(map_points(parameter_view(summary(spark, sf), VIEW_COUNCIL, VIEW_VARIABLE)))
+
+
+# --- quality -----------------------------------------------------------------
+
+Q_SQL = "WITH " + O.RECORDS + """,
+dim AS (SELECT DISTINCT r.id, r.variable, r.created_at, t.agency, t.callname
+        FROM lwq_data r LEFT JOIN transfer t ON r.variable = t.callname AND r.council = t.agency)
+SELECT count(*) AS n_rows,
+  count(*) FILTER (WHERE id IS NULL) AS id_nulls,
+  count(*) FILTER (WHERE variable IS NULL) AS variable_nulls,
+  count(*) FILTER (WHERE created_at IS NULL) AS created_at_nulls,
+  count(*) FILTER (WHERE agency IS NULL) AS agency_nulls,
+  count(*) FILTER (WHERE callname IS NULL) AS callname_nulls,
+  count(*) FILTER (WHERE agency IS NOT NULL AND agency NOT IN
+    ('ac', 'ecan', 'es', 'gw', 'hbrc', 'hrc', 'nrc', 'orc', 'wrc')) AS agency_rejected,
+  (SELECT count(*) FROM (SELECT id FROM dim GROUP BY id HAVING count(*) > 1) d) AS id_duplicates
+FROM dim"""
+
+
+@register("Q1_Q3_dim_variable_checks", Q_SQL)
+def q_checks(spark, sf):
+    from tarn.operators.quality import check_dim_variables
+    return check_dim_variables(marts.dim_variables(td.raw_records(spark, sf), td.transfer_table(spark, sf)))
+
+
+def backfill_requests(spark, sf):
+    """Each order is a backfill request: its customer's council, the order
+    date to the last ship date, the return flags as parameters and the
+    suppliers as sites."""
+    o = td.table(spark, sf, "orders")
+    li = td.table(spark, sf, "lineitem")
+    c = td.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    n = td.table(spark, sf, "nation").select("n_nationkey", td.council_col().alias("council"))
+    lines = li.groupBy("l_orderkey").agg(
+        F.to_date(F.max("l_shipdate")).alias("end_date"),
+        F.sort_array(F.collect_set("l_returnflag")).alias("params"),
+        F.sort_array(F.collect_set(F.col("l_suppkey").cast("string"))).alias("sites"))
+    cn = td.dim_join(c, n, c.c_nationkey == n.n_nationkey, "inner")
+    req = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+    req = td.dim_join(req, cn, req.o_custkey == cn.c_custkey, "left")
+    return req.select(F.col("o_orderkey").cast("string").alias("request_id"), "council",
+                      F.to_date("o_orderdate").alias("start_date"), "end_date", "params", "sites")
+
+
+Q4_SQL = """
+WITH lines AS (
+  SELECT l_orderkey, CAST(max(l_shipdate) AS DATE) AS end_date,
+    count(DISTINCT l_returnflag) AS n_params, count(DISTINCT l_suppkey) AS n_sites
+  FROM lineitem GROUP BY l_orderkey),
+req AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS request_id, lower(n_name) AS council,
+    CAST(o_orderdate AS DATE) AS start_date, end_date,
+    coalesce(n_params, 0) AS n_params, coalesce(n_sites, 0) AS n_sites
+  FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey
+  LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey),
+chk AS (
+  SELECT *, datediff('day', start_date, end_date) AS days,
+    start_date IS NOT NULL AND end_date IS NOT NULL AND n_params > 0 AND n_sites > 0 AS present
+  FROM req)
+SELECT request_id, council, start_date, end_date, n_params, n_sites, days,
+  concat_ws(';',
+    CASE WHEN NOT present THEN 'missing field' END,
+    CASE WHEN present AND n_sites > 2 THEN 'more than 2 sites' END,
+    CASE WHEN present AND n_params > 2 THEN 'more than 2 parameters' END,
+    CASE WHEN present AND days > 30 THEN 'more than 30 days' END,
+    CASE WHEN present AND days < 0 THEN 'end before start' END) AS reasons,
+  present AND n_sites <= 2 AND n_params <= 2 AND days BETWEEN 0 AND 30 AS accepted
+FROM chk"""
+
+
+@register("Q4_backfill_validation", Q4_SQL)
+def q_backfill(spark, sf):
+    from tarn.operators.quality import validate_backfill
+    v = validate_backfill(backfill_requests(spark, sf))
+    return v.select("request_id", "council", "start_date", "end_date",
+                    F.coalesce(F.size("params"), F.lit(0)).alias("n_params"),
+                    F.coalesce(F.size("sites"), F.lit(0)).alias("n_sites"),
+                    "days", F.array_join("reasons", ";").alias("reasons"),
+                    F.coalesce("accepted", F.lit(False)).alias("accepted"))
+
+
+# --- manifest ----------------------------------------------------------------
+
+MANIFEST_START = "2024-01-01"
+
+
+@register("J1_request_manifest", "WITH " + O.SITES + "," + O.TRANSFER + f"""
+SELECT s.council, s.councilsiteid AS site, t.callname AS variable,
+  'https://' || s.council || '.example.org/sos?service=SOS&request=GetObservation'
+    || '&From={MANIFEST_START}&To=2030-01-01&Site=' || s.councilsiteid || '&Measurement=' || t.callname AS url
+FROM sites s JOIN transfer t ON s.council = t.agency""")
+def q_manifest(spark, sf):
+    from tarn.operators.manifest import build_manifest
+    return build_manifest(td.sites_latest(spark, sf), td.transfer_table(spark, sf),
+                          td.list_of_urls(spark, sf), MANIFEST_START)
+
+
+# --- reshape, metadata, profiles, counts, increments ---------------------------
+
+@register("R1_unpivot", """
+SELECT p_partkey, 'p_brand' AS variable, p_brand AS value FROM part
+UNION ALL SELECT p_partkey, 'p_type', p_type FROM part
+UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS VARCHAR) FROM part""")
+def q_unpivot(spark, sf):
+    part = td.table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size")
+    return marts.unpivot_metadata(part, ids=["p_partkey"], exclude=())
+
+
+@register("R2_P9_parameters", "WITH " + O.EV_PAGED + """
+SELECT url, CASE WHEN event_id % 37 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%g')
+       WHEN event_id % 2 = 0 THEN strftime(ts, '%Y%m%dT%H%M%S')
+       ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS t, name, value
+FROM (SELECT url, ts, event_id, event_type, 'EventId' AS name, CAST(event_id AS VARCHAR) AS value FROM ev
+      UNION ALL SELECT url, ts, event_id, event_type, 'Props',
+        regexp_replace(props, '[^\\w\\s]', '', 'g') FROM ev) x
+WHERE event_type <> 'error'""")
+def q_parameters(spark, sf):
+    """Open Parameter attributes as (name, value) rows, values cleaned."""
+    from tarn.functions.values import strip_specials, truncate_cell
+    from tarn.sources.landing import explode_responses
+    rows = explode_responses(td.landed_responses(spark, sf)).filter(F.col("error").isNull())
+    kv = rows.select("url", "t", F.explode("params").alias("name", "raw"))
+    return kv.select("url", "t", F.regexp_replace("name", r"[^\w]", "_").alias("name"),
+                     strip_specials(truncate_cell("raw")).alias("value"))
+
+
+A9_COLS = ["id", "t", "site", "lawasiteid", "lawaname", "variable", "value", "error", "status_code",
+           "url", "council", "created_at"]
+A9_SQL = "WITH " + O.RECORDS + ", w AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, max(length(CAST({c} AS VARCHAR))) AS max_length FROM lwq_data"
+    for c in A9_COLS) + ") SELECT * FROM w WHERE max_length > 20"
+
+
+@register("A9_column_widths", A9_SQL)
+def q_widths(spark, sf):
+    from tarn.operators.records import column_widths
+    return column_widths(td.raw_records(spark, sf).select(*A9_COLS), 20)
+
+
+@register("A4_request_counts", "WITH " + O.RECORDS + """
+SELECT count(DISTINCT url) AS n_requests, count(*) FILTER (WHERE error IS NOT NULL) AS n_failed
+FROM lwq_data""")
+def q_counts(spark, sf):
+    from tarn.operators.records import request_counts
+    return request_counts(td.raw_records(spark, sf))
+
+
+K8_CUT = "2024-01-20"
+
+
+@register("K8_increment", "WITH " + O.RECORDS + f"""
+SELECT * FROM lwq_data
+WHERE created_at > (SELECT max(created_at) FROM lwq_data WHERE created_at < TIMESTAMP '{K8_CUT}')""")
+def q_increment(spark, sf):
+    """Records newer than the mart's high-water mark, the mart having been
+    built from the loads before K8_CUT."""
+    rec = td.raw_records(spark, sf)
+    old = rec.filter(F.col("created_at") < F.lit(K8_CUT).cast("timestamp_ntz"))
+    mart = marts.fact_records(old, td.sites_latest(spark, sf), with_clock=False)
+    return marts.new_since(rec, mart)
+
+
+@register("K3_replace_slice", "WITH " + O.SITES + ", gml AS (" + O.S3 + """),
+batch AS (SELECT *, 'yes' AS lawa_site, TIMESTAMP '2024-01-01 00:00:00' AS created_at
+          FROM gml WHERE lower(lwquality) IN ('y', 'yes', 'true'))
+SELECT * FROM sites WHERE lower(council) NOT IN (SELECT DISTINCT lower(council) FROM batch)
+UNION ALL SELECT * FROM batch""")
+def q_replace_slice(spark, sf):
+    """The lwq site table after a catalog load of the GML councils."""
+    from tarn.operators.sites import route_module
+    from tarn.operators.store import replace_slice
+    from tarn.sources.catalog import parse_catalog
+    batch = route_module(parse_catalog(td.landed_catalogs(spark, sf)), "lwq",
+                         loaded_at=F.lit(td.CATALOG_TS).cast("timestamp_ntz"))
+    return replace_slice(td.sites_latest(spark, sf), batch)
