@@ -95,7 +95,8 @@ def history_rows(target: DataFrame, source: DataFrame, key: str = "id",
     reference: a NULL on either side writes no history row."""
     s = source.select(F.col(key).alias("__k"), F.col(value).alias("__v"))
     j = target.join(s, target[key] == s["__k"], "inner").filter(F.col(value) != F.col("__v"))
-    return j.select(*target.columns, _ts(batch_ts).alias("updated_at"))
+    keep = [c for c in target.columns if c != "updated_at"]
+    return j.select(*keep, _ts(batch_ts).alias("updated_at"))
 
 
 def insert_missing(target: DataFrame, source: DataFrame, key: str = "id") -> DataFrame:
@@ -129,17 +130,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def with_created_at(schema: T.StructType) -> T.StructType:
+    if "created_at" in schema.fieldNames():
+        return schema
+    return T.StructType(schema.fields + [T.StructField("created_at", T.TimestampNTZType())])
+
+
 def create_if_absent(spark: SparkSession, path: str, schema: T.StructType,
-                     partition: str | None = PARTITION) -> None:
-    """K1: create an empty table with ``schema`` (plus ``created_at``)."""
-    if exists(spark, path):
+                     partition: str | None = None) -> None:
+    """K1: create an empty table with ``schema`` plus ``created_at``.
+    A partitioned table has no files until its first write; readers use
+    :func:`read_or_empty`."""
+    if exists(spark, path) or partition:
         return
-    if "created_at" not in schema.fieldNames():
-        schema = T.StructType(schema.fields + [T.StructField("created_at", T.TimestampNTZType())])
-    w = spark.createDataFrame([], schema).write.mode("overwrite")
-    if partition and partition in schema.fieldNames():
-        w = w.partitionBy(partition)
-    w.parquet(path)
+    spark.createDataFrame([], with_created_at(schema)).write.mode("overwrite").parquet(path)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    if exists(spark, path + "/_SUCCESS") or exists(spark, path) and _has_data(spark, path):
+        return read(spark, path)
+    return spark.createDataFrame([], with_created_at(schema))
+
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -186,17 +201,17 @@ def _touched(source: DataFrame, partition: str) -> list:
 
 def write_upsert(spark: SparkSession, source: DataFrame, path: str, history_path: str | None,
                  batch_ts, key: str = "id", partition: str = PARTITION,
-                 history_partition: str | None = None) -> None:
+                 history_partition: str | None = None,
+                 history_partition_value: str | None = None) -> None:
     """K5 then K4 on a stored table; only the batch's councils are rewritten."""
     source = _stage(prepare_values(source), "source")
-    if not exists(spark, path):
-        create_if_absent(spark, path, source.schema, partition)
     councils = _touched(source, partition)
-    target = read(spark, path).filter(F.col(partition).isin(councils))
+    target = read_or_empty(spark, path, source.schema).filter(F.col(partition).isin(councils))
     if history_path is not None and "value" in source.columns:
         hist = history_rows(target, source, key, "value", batch_ts)
         if history_partition:
-            hist = hist.withColumn(history_partition, F.lit(str(history_partition_value(batch_ts))))
+            tag = history_partition_value or _ts_tag(batch_ts)
+            hist = hist.withColumn(history_partition, F.lit(tag))
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
             hist.write.mode("overwrite").partitionBy(history_partition).parquet(history_path)
         else:
@@ -205,16 +220,14 @@ def write_upsert(spark: SparkSession, source: DataFrame, path: str, history_path
     overwrite_partitions(merged, path, partition)
 
 
-def history_partition_value(batch_ts) -> str:
+def _ts_tag(batch_ts) -> str:
     return str(batch_ts).replace(" ", "T").replace(":", "")
 
 
 def write_insert_missing(spark: SparkSession, source: DataFrame, path: str, batch_ts,
                          key: str = "id", partition: str = PARTITION) -> None:
     """K6: append only the source rows whose key is absent."""
-    if not exists(spark, path):
-        create_if_absent(spark, path, source.schema, partition)
-    target = read(spark, path)
+    target = read_or_empty(spark, path, source.schema)
     new = source.join(target.select(key), key, "left_anti")
     append(new, path, batch_ts, partition)
 

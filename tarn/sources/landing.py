@@ -20,9 +20,9 @@ from tarn import schemas as S
 
 _COMMENT = r"(?s)<!--.*?-->"
 # `Data` blocks and `E` elements; the tag must end at '>' or whitespace, so
-# `<Data2>` or `<E-x>` do not count.
-_DATA = r"(?s)<Data(?:\s[^>]*)?>(.*?)</Data\s*>"
-_E = r"(?s)<E(?:\s[^>]*)?>.*?</E\s*>"
+# `<Data2>` or `<E-x>` do not count; self-closing tags open nothing.
+_DATA = r"(?s)<Data(?:\s[^>]*)?(?<!/)>(.*?)</Data\s*>"
+_E = r"(?s)<E(?:\s[^>]*)?(?<!/)>.*?</E\s*>"
 # A leaf element with text only: (tag, text).
 _LEAF = r"<([A-Za-z_][\w.\-]*)(?:\s[^>]*)?>([^<]*)</\1\s*>"
 E_SCHEMA = "T STRING, Value STRING, Parameter ARRAY<STRUCT<_Name: STRING, _Value: STRING>>"
