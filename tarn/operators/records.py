@@ -16,8 +16,9 @@ from tarn.functions.values import (censor_symbols, record_key, sanitise_name,
 from tarn.operators.dedup import keep_first
 from tarn.operators.joins import dim_join
 
-# Deterministic keep-first order (successes first, then by text).
-DEDUP_ORDER = [F.col("error").isNotNull(), "url", "t", "value"]
+def dedup_order():
+    """Deterministic keep-first order (successes first, then by text)."""
+    return [F.col("error").isNotNull(), "url", "t", "value"]
 
 
 def enrich(obs: DataFrame, sites: DataFrame, transfer: DataFrame) -> DataFrame:
@@ -52,7 +53,7 @@ def build_records(obs: DataFrame, sites: DataFrame, transfer: DataFrame) -> Data
     out += [F.col("status_code"), truncate_cell("url").alias("url"), F.col("council")]
     extra = [c for c in ("created_at", "params") if c in j.columns]
     rec = j.select(*out, *extra)
-    return keep_first(rec, ["id"], DEDUP_ORDER)                            # A6
+    return keep_first(rec, ["id"], dedup_order())                         # A6
 
 
 def prepare_for_load(records: DataFrame) -> DataFrame:
