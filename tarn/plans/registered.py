@@ -403,9 +403,9 @@ def q_backfill(spark, sf):
     from tarn.operators.quality import validate_backfill
     v = validate_backfill(backfill_requests(spark, sf))
     return v.select("request_id", "council", "start_date", "end_date",
-                    F.coalesce(F.size("params"), F.lit(0)).alias("n_params"),
-                    F.coalesce(F.size("sites"), F.lit(0)).alias("n_sites"),
-                    "days", F.array_join("reasons", ";").alias("reasons"),
+                    F.coalesce(F.size("params"), F.lit(0)).cast("long").alias("n_params"),
+                    F.coalesce(F.size("sites"), F.lit(0)).cast("long").alias("n_sites"),
+                    F.col("days").cast("long").alias("days"), F.array_join("reasons", ";").alias("reasons"),
                     F.coalesce("accepted", F.lit(False)).alias("accepted"))
 
 
@@ -464,7 +464,8 @@ A9_SQL = "WITH " + O.RECORDS + ", w AS (" + " UNION ALL ".join(
 @register("A9_column_widths", A9_SQL)
 def q_widths(spark, sf):
     from tarn.operators.records import column_widths
-    return column_widths(td.raw_records(spark, sf).select(*A9_COLS), 20)
+    w = column_widths(td.raw_records(spark, sf).select(*A9_COLS), 20)
+    return w.withColumn("max_length", F.col("max_length").cast("long"))
 
 
 @register("A4_request_counts", "WITH " + O.RECORDS + """

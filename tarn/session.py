@@ -90,10 +90,23 @@ def stored_table(spark: SparkSession, name: str, build, key: str = ""):
     """
     import hashlib
 
-    tag = hashlib.sha1(f"{name}|{key}".encode()).hexdigest()[:12]
+    tag = hashlib.sha1(f"{name}|{key}|{_code_tag()}".encode()).hexdigest()[:12]
     path = scratch_dir(spark, f"tables/{name}-{tag}")
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def _code_tag() -> str:
+    """Digest of the package sources, so a stored table built by other code
+    is never reused."""
+    import hashlib
+    import pathlib
+
+    root = pathlib.Path(__file__).parent
+    h = hashlib.sha1()
+    for f in sorted(root.rglob("*.py")):
+        h.update(f.read_bytes())
+    return h.hexdigest()[:12]
