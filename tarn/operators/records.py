@@ -36,9 +36,12 @@ def enrich(obs: DataFrame, sites: DataFrame, transfer: DataFrame) -> DataFrame:
     return j.drop("__agency", "__callname")
 
 
-def build_records(obs: DataFrame, sites: DataFrame, transfer: DataFrame) -> DataFrame:
+def build_records(obs: DataFrame, sites: DataFrame, transfer: DataFrame,
+                  keep_params: bool = False) -> DataFrame:
     """Observations -> keyed, truncated, deduplicated records (core columns
-    plus ``council``, ``created_at`` when present, and ``params``)."""
+    plus ``council``, ``created_at`` when present, and ``params`` when
+    ``keep_params``: Catalyst cannot prune fields inside the dedup
+    aggregate, so the open attribute map only travels when asked for)."""
     j = enrich(obs, sites, transfer)
     t = F.coalesce(F.col("t"), F.lit(S.MISSING_TIME))                      # P11
     # A part missing from the lookups falls back to the raw id instead
@@ -51,7 +54,8 @@ def build_records(obs: DataFrame, sites: DataFrame, transfer: DataFrame) -> Data
     for c in ["site", "lawasiteid", "lawaname", "variable", "value", "error"]:
         out.append(truncate_cell(c).alias(c))                              # P10
     out += [F.col("status_code"), truncate_cell("url").alias("url"), F.col("council")]
-    extra = [c for c in ("created_at", "params") if c in j.columns]
+    extra = [c for c in ("created_at", "params") if c in j.columns
+             and (c != "params" or keep_params)]
     rec = j.select(*out, *extra)
     return keep_first(rec, ["id"], dedup_order())                         # A6
 
