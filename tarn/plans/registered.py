@@ -504,3 +504,30 @@ def q_replace_slice(spark, sf):
     batch = route_module(parse_catalog(td.landed_catalogs(spark, sf)), "lwq",
                          loaded_at=F.lit(td.CATALOG_TS).cast("timestamp_ntz"))
     return replace_slice(td.sites_latest(spark, sf), batch)
+
+
+# --- streaming (rows-only check; equality with the batch path is a test) -----
+
+STREAM_LATE_BEFORE = "2024-01-15"
+
+
+@register("T1_T3_streaming_ingest", None)
+def q_streaming(spark, sf):
+    """Landed responses arrive in two waves, the older days second; the
+    stream ingests each wave as it lands (no watermark) and the table
+    ends with every record of both."""
+    import uuid
+
+    from tarn.session import scratch_dir
+    from tarn.streaming.ingest import ingest
+    base = scratch_dir(spark, f"stream-{uuid.uuid4().hex}")
+    land, table, hist, ck = (f"{base}/{n}" for n in ("landing", "lwq_data", "history", "checkpoint"))
+    landed = td.landed_responses(spark, sf)
+    sites, transfer = td.sites_latest(spark, sf), td.transfer_table(spark, sf)
+    late = F.col("date_start") < STREAM_LATE_BEFORE
+    landed.filter(~late).write.mode("append").parquet(land)
+    ingest(spark, land, table, hist, ck, sites, transfer, batch_ts="2024-02-01 00:00:00")
+    landed.filter(late).write.mode("append").parquet(land)
+    ingest(spark, land, table, hist, ck, sites, transfer, batch_ts="2024-02-02 00:00:00")
+    return spark.read.parquet(table).select("id", "t", "site", "lawasiteid", "lawaname", "variable",
+                                            "value", "error", "status_code", "url", "council")
