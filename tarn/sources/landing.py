@@ -27,6 +27,7 @@ _E = r"(?s)<E(?:\s[^>]*)?(?<!/)>.*?</E\s*>"
 _LEAF = r"<([A-Za-z_][\w.\-]*)(?:\s[^>]*)?>([^<]*)</\1\s*>"
 E_SCHEMA = "T STRING, Value STRING, Parameter ARRAY<STRUCT<_Name: STRING, _Value: STRING>>"
 MALFORMED_ERROR = "Malformed XML body"
+NESTED_DATA_ERROR = "Nested Data block"
 
 
 def decode_entities(c: Column) -> Column:
@@ -43,11 +44,22 @@ def malformed(body: Column) -> Column:
     return probe["_corrupt_record"].isNotNull()
 
 
+def _data_blocks(body: Column) -> Column:
+    clean = F.regexp_replace(body, _COMMENT, "")
+    return F.regexp_extract_all(clean, F.lit(_DATA), F.lit(1))
+
+
+def nested_data(body: Column) -> Column:
+    """True when a `Data` block opens another `Data` inside it: the element
+    tree reading repeats the inner rows there, so such bodies are flagged
+    rather than guessed."""
+    return F.exists(_data_blocks(body), lambda d: d.rlike(r"<Data(\s[^>]*)?>"))
+
+
 def e_fragments(body: Column) -> Column:
     """Array of `<E>...</E>` texts found inside any `Data` block."""
-    clean = F.regexp_replace(body, _COMMENT, "")
-    datas = F.regexp_extract_all(clean, F.lit(_DATA), F.lit(1))
-    return F.flatten(F.transform(datas, lambda d: F.regexp_extract_all(d, F.lit(_E), F.lit(0))))
+    return F.flatten(F.transform(_data_blocks(body),
+                                 lambda d: F.regexp_extract_all(d, F.lit(_E), F.lit(0))))
 
 
 def leaf_map(fragment: Column, drop=("T", "Value", "Parameter")) -> Column:
@@ -71,11 +83,13 @@ def explode_responses(landed: DataFrame) -> DataFrame:
     checked = landed.select(
         "*", (ok & (F.col("body").isNull() | malformed(F.col("body")))).alias("__bad"))
     checked = checked.select(
-        "*", F.when(ok & ~F.col("__bad"), e_fragments(F.col("body"))).alias("__frags"))
+        "*", (ok & ~F.col("__bad") & nested_data(F.col("body"))).alias("__nested"),
+        F.when(ok & ~F.col("__bad"), e_fragments(F.col("body"))).alias("__frags"))
     bad_body, frags = F.col("__bad"), F.col("__frags")
     error = (F.when(F.col("status_code").isNull(), F.coalesce(fetch_error, F.lit("request failed")))
              .when(~ok, F.concat(F.lit(S.HTTP_ERROR_PREFIX), F.col("status_code").cast("string")))
              .when(bad_body, F.lit(MALFORMED_ERROR))
+             .when(F.col("__nested"), F.lit(NESTED_DATA_ERROR))
              .when(F.size(frags) == 0, F.lit(S.NO_DATA_ERROR)))
     staged = checked.select(
         "url", F.when(bad_body, F.lit(None).cast("int")).otherwise(F.col("status_code")).alias("status_code"),

@@ -27,6 +27,7 @@ def test_measurement_shapes(spark):
         ("u6", "s", "v", 404, "Not found", "c"),
         ("u7", "s", "v", None, None, "c"),
         ("u8", "s", "v", 200, "<H><Data/></H>", "c"),
+        ("u9", "s", "v", 200, "<H><Data><Data><E><T>1</T><Value>1</Value></E></Data></Data></H>", "c"),
     ])
     by = {}
     for r in rows:
@@ -42,7 +43,8 @@ def test_measurement_shapes(spark):
     assert by["u6"][0]["error"] == "HTTP error: 404" and by["u6"][0]["status_code"] == 404
     assert by["u7"][0]["error"] == "request failed" and by["u7"][0]["status_code"] is None
     assert by["u8"][0]["error"] == "No data found"
-    assert len(rows) == 9
+    assert by["u9"][0]["error"] == "Nested Data block"
+    assert len(rows) == 10
 
 
 def test_catalog_shapes(spark):
