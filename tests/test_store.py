@@ -85,3 +85,22 @@ def test_insert_if_absent_write(spark, tmpdir_path):
     store.write_insert_missing(spark, spark.createDataFrame([("a", "1", "x")], REC), path, TS1)
     store.write_insert_missing(spark, spark.createDataFrame([("a", "2", "x"), ("b", "3", "x")], REC), path, TS2)
     assert rows(store.read(spark, path), "id", "value") == [("a", "1"), ("b", "3")]
+
+
+def test_keep_first_is_an_aggregate_not_a_window(spark):
+    from tarn.operators.dedup import keep_first
+    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 1, "z")], "k string, o int, v string")
+    out = keep_first(df, ["k"], ["o"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_min_by" in plan
+    assert sorted(tuple(r) for r in out.collect()) == [("a", 1, "y"), ("b", 1, "z")]
+
+
+def test_upsert_target_read_prunes_partitions(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "p")
+    spark.createDataFrame([("a", "1", "x"), ("b", "2", "y"), ("c", "3", "z")], REC) \
+        .write.partitionBy("council").parquet(path)
+    target = store.read(spark, path).filter(F.col("council").isin(["x"]))
+    plan = target._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(council" in plan and "council" in plan
+    assert [r["id"] for r in target.collect()] == ["a"]
