@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from .chat import OP3_SQL, op3_chat_format
 from .hilbert import op2_hilbert_shards
+from .jaccard import op6_jaccard_join
+from .licenses import op1_license_scan
 from .mixing import op10_pivotal_mix
+from .substrings import op9_suffix_dedup
+from .tokenfiles import op8_token_files
 
 REGISTRY = {
+    "op1_license_scan": (op1_license_scan, None),           # bounded-error matching
     "op2_hilbert_shards": (op2_hilbert_shards, None),       # DuckDB has no crc32
     "op3_chat_format": (op3_chat_format, OP3_SQL),
+    "op6_jaccard_join": (op6_jaccard_join, None),           # components over hashed sets; brute force in the tests
+    "op8_token_files": (op8_token_files, None),             # a tokenizer
+    "op9_suffix_dedup": (op9_suffix_dedup, None),           # byte strings; brute force in the tests
     "op10_pivotal_mix": (op10_pivotal_mix, None),           # random rounding
 }
