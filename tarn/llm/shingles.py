@@ -74,16 +74,13 @@ def shingle_sets(off: np.ndarray, raw: np.ndarray, k: int):
             if len(own) > 1:
                 own = own[np.append(True, own[1:] != own[:-1])]
         elif b > a:
-            whole = np.uint64(b - a)
-            for i in range(a, b):
-                whole = whole * _STEP + words[i] * _MIX[i - a]
-            own = splitmix(np.array([whole]))
+            own = splitmix((words[a:b] * _MIX[: b - a]).sum(keepdims=True, dtype=np.uint64) + np.uint64(b - a))
         else:
             own = np.empty(0, np.uint64)
         yield own
 
 
 def set_id(own: np.ndarray) -> int:
-    """63-bit fingerprint of a set, the same for equal sets."""
-    total = splitmix(own ^ _MIX[6]).sum(dtype=np.uint64) + np.uint64(len(own)) * _MIX[5]
-    return int(splitmix(np.array([total], np.uint64))[0] >> np.uint64(1))
+    """62-bit fingerprint of a set, the same for equal sets."""
+    total = splitmix(own ^ _MIX[6]).sum(keepdims=True, dtype=np.uint64)
+    return int(splitmix(total ^ splitmix(np.array([len(own)], np.uint64)))[0] >> np.uint64(2))
