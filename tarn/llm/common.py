@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 import numpy as np
@@ -10,7 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tarn.session import scratch_dir
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package, wherever the
+    driver was started. (On a cluster the package is shipped, as any other.)"""
+    env = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
+    if root not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -55,6 +67,17 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return off - off[0] if len(off) else np.zeros(1, np.int64), raw[off[0]: off[-1]] if len(off) else raw
 
 
+def text_slices(batch, column: int, limit: int = 4 << 20):
+    """A batch in slices of at most ``limit`` text bytes (one row at least):
+    what numpy needs beside a text is many times its size."""
+    off, _ = text_bytes(batch.column(column))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(off, off[at] + limit, side="right")) - 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def splitmix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer (splitmix64) over uint64."""
     x = x.astype(np.uint64, copy=True)

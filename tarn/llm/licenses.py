@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, text_bytes
+from .common import read_table, text_bytes, text_slices
 
 
 @dataclass(frozen=True)
@@ -135,7 +135,7 @@ class _WordCounter:
 
 def _scan(batches):
     scanner = Scanner()
-    for batch in batches:
+    for batch in (part for b in batches for part in text_slices(b, 1, 16 << 20)):
         off, raw = text_bytes(batch.column(1))
         raw, off = raw.tobytes(), off.tolist()
         starts, parts, counts, at = [], [b"\n"], [], 1

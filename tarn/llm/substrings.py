@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, read_table, splitmix, text_bytes
+from .common import Scratch, read_table, splitmix, text_bytes, text_slices
 from .suffix import concatenate, permuted_lcp, suffix_array
 
 SPAN = 100
@@ -134,7 +134,7 @@ def _scan(batches):
     """Runs of a batch; equal contexts are reduced to the first, and the
     others, already known to be repeats, leave as merged intervals (place
     with 0 starts, its end in ``context``)."""
-    for batch in batches:
+    for batch in (part for b in batches for part in text_slices(b, 2, 16 << 20)):
         rid = batch.column(0).to_numpy(zero_copy_only=False)
         sub = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
         d, at, n, anchor, context = runs(*text_bytes(batch.column(2)))
@@ -227,7 +227,7 @@ _KEPT_DDL = "doc_id long, n_bytes long, spans array<struct<lo:long,hi:long>>, ke
 
 
 def _cut(batches):
-    for batch in batches:
+    for batch in (part for b in batches for part in text_slices(b, 1, 16 << 20)):
         sizes, spans, kept = [], [], []
         off, raw = text_bytes(batch.column(1))
         raw, off = raw.tobytes(), off.tolist()
