@@ -54,6 +54,10 @@ def _shingles(words: Column, k: int) -> Column:
         lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(k)]))).otherwise(F.array().cast("array<bigint>"))
 
 
+def _shingles_of(k: int):
+    return lambda words: _shingles(words, k)
+
+
 def _bound(value: Column, f) -> Column:
     """``f(value)`` with ``value`` evaluated once."""
     return F.get(F.transform(F.array(value), f), F.lit(0))
@@ -149,7 +153,7 @@ def find_passages(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOL
     sizes = items.select(F.col("item_id").alias("_i"), F.col("k"))
     pairs = (candidates.join(weighted, F.col("item_id").eqNullSafe(F.col("_item"))).join(sizes, F.col("item_id").eqNullSafe(F.col("_i"))))
     words = F.split("window", " ")
-    own = F.coalesce(*[F.when(F.col("k") == k, _bound(words, lambda w, k=k: _shingles(w, k))) for k in ks])
+    own = F.coalesce(*[F.when(F.col("k") == k, _bound(words, _shingles_of(k))) for k in ks])
     found = _bound(own, lambda s: F.aggregate(
         "entries", F.lit(0.0), lambda acc, e: acc + e["w"] * F.least(e["n"].cast("long"), F.size(F.filter(s, lambda x: x == e["shingle"])).cast("long"))))
     good = (pairs.withColumn("similarity", F.round(found / F.col("weight"), 9)).where(F.col("similarity") >= threshold)

@@ -238,8 +238,8 @@ def nearest(queries: DataFrame, index: DataFrame, scratch: Scratch, k: int = K,
     distinct = scratch.save(queries.groupBy("embedding", "dim").agg(F.min("vec_id").alias("query")), "queries")
     blocks = max(1, -(-distinct.count() // queries_per_block))
     visits = (distinct.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
-              .join(index.select(F.col("dim").alias("_dim"), "shard"), F.col("dim") == F.col("_dim"))
-              .select("dim", "shard", "block", "query", "embedding"))
+              .join(index.select(F.col("dim").alias("_dim"), F.col("shard").alias("_shard")), F.col("dim") == F.col("_dim"))
+              .select("dim", F.col("_shard").alias("shard"), "block", "query", "embedding"))
     copies = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = scratch.save(visits.groupBy("dim", "shard", "block").cogroup(copies.groupBy("dim", "shard", "block"))
                          .applyInPandas(lambda q, i: _searcher(k, ef)(q, i), RESULT), "found")
