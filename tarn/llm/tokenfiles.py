@@ -29,6 +29,7 @@ import hashlib
 import re
 import struct
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,15 +50,22 @@ DICT_BYTES = 64 << 10
 SAMPLE_DOCS = 400
 SAMPLE_DOC_BYTES = 32 << 10
 LEVEL = 3
-CACHE_PIECES = 500_000
+CACHE_PIECES = 1_000_000
 
-_LETTERS = "a-zªµºß-öø-ÿ"
-_SAFE = "\\t\\n\\r\\x20-\\x7e" + "ªµºÀ-ÖØ-öø-ÿ"
-_UNSAFE = re.compile(f"[^{_SAFE}]|<\\|")
+_LETTERS = "a-zß-öø-ÿ"
+# UTF-8 of the characters where the cut is made here: printable ASCII, tab,
+# line ends, and the letters of Latin-1 from U+00C0 on.
+_SAFE_ASCII = bytes([9, 10, 13, *range(0x20, 0x7F)])
+_SAFE_REST = re.compile(rb"(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*+")
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+")
 _SPACE = re.compile("[ \\t\\n\\r]+")
 
 
+def _safe(text: str) -> bool:
+    raw = text.encode()
+    return b"<|" not in raw and _SAFE_REST.fullmatch(raw.translate(None, _SAFE_ASCII)) is not None
+
+
 class PieceEncoder:
     """``tokenizers`` with a memory of pieces.
 
@@ -112,12 +120,12 @@ class PieceEncoder:
             self._add(m, e.ids)
 
     def _pieces(self, text: str) -> list[str]:
-        if _UNSAFE.search(text) is None:
+        if _safe(text):
             return _PIECE.findall(text.lower())
         out: list[str] = []
         for stretch in _SPACE.split(text):
             if stretch:
-                if _UNSAFE.search(stretch) is None:
+                if _safe(stretch):
                     out += _PIECE.findall(stretch.lower())
                 else:
                     out.append("\0" + stretch)
@@ -128,13 +136,15 @@ class PieceEncoder:
         pieces = self._pieces(text)
         if not pieces:
             return np.empty(0, np.uint32)
-        missing = set(pieces).difference(self.place)
-        if missing:
+        at = np.array(list(map(self.place.get, pieces, repeat(-1))), np.int64)
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            missing = {pieces[i] for i in new}
             if len(self.place) + len(missing) > CACHE_PIECES:
                 self.clear()
-                missing = set(pieces)
+                missing, new = set(pieces), range(len(pieces))
             self._learn(sorted(missing))
-        at = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+            at[new] = [self.place[pieces[i]] for i in new]
         ends = self.ends[at]
         starts = np.where(at > 0, self.ends[at - 1], 0)
         sizes = ends - starts
