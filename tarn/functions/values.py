@@ -13,7 +13,7 @@ __all__ = [
     "obs_time", "censor_symbols", "numeric_value", "is_strict_numeric",
     "censor_marker", "adjusted_value", "truncate_cell", "strip_specials",
     "sanitise_name", "tolerant_double", "record_key", "split_position",
-    "is_true_flag",
+    "is_true_flag", "sanitise_name_col", "nan_to_null", "is_rejected_value", "as_of_date",
 ]
 
 # A number as the warehouse would cast it: optional sign, digits with an
@@ -83,9 +83,10 @@ def adjusted_value(censored: Column | str, value_numeric: Column | str) -> Colum
             .otherwise(value_numeric))
 
 
-def truncate_cell(c: Column | str, width: int = S.CELL_WIDTH) -> Column:
-    """P10: keep the first ``width`` characters (code points)."""
-    return F.substring(_c(c), 1, width)
+def truncate_cell(c: Column | str, width: int | None = None) -> Column:
+    """P10: keep the first ``width`` characters (code points); without a
+    width the cell stays whole."""
+    return _c(c) if width is None else F.substring(_c(c), 1, width)
 
 
 def strip_specials(c: Column | str) -> Column:
@@ -95,10 +96,32 @@ def strip_specials(c: Column | str) -> Column:
 
 
 def sanitise_name(name: str) -> str:
-    """Column-name cleanup, ``[^\\w]`` -> ``_``."""
+    """Column-name cleanup, ``[^\\w]`` -> ``_`` (Unicode letters stay)."""
     return re.sub(r"[^\w]", "_", name)
 
 
+def sanitise_name_col(c: Column | str) -> Column:
+    """P8 on a column of names."""
+    return F.regexp_replace(_c(c), r"(?U)[^\w]", "_")
+
+
+def nan_to_null(c: Column | str) -> Column:
+    """F16: NaN -> NULL for floating-point columns."""
+    c = _c(c)
+    return F.when(~F.isnan(c), c)
+
+
+def is_rejected_value(v: Column | str) -> Column:
+    """a value that is neither missing nor censored nor a number."""
+    v = _c(v)
+    return v.isNotNull() & ~v.like("%than_%") & ~v.isin(*S.MISSING_VALUE_LITERALS) & tolerant_double(v).isNull()
+
+
+def as_of_date(run_date: Column | str) -> Column:
+    """the day before the run, as text: the date a scheduled load asks for."""
+    return F.date_format(F.date_sub(_c(run_date).cast("date"), 1), "yyyy-MM-dd")
+
+
 def record_key(lawasiteid: Column | str, councilsiteid: Column | str,
                lawaname: Column | str, t: Column | str,
                date_start: Column | str, date_end: Column | str) -> Column:

@@ -1,8 +1,10 @@
 """Join helpers: broadcast only a side whose size has been checked.
 
-The check uses Catalyst's own size estimate of the optimized plan (file
-sizes for scans, propagated through filters and projections). A side
-over the bound is joined by shuffle; AQE may still turn that into a
+Two checks: Catalyst's size estimate of the optimized plan
+(:func:`maybe_broadcast`; file sizes for scans, propagated through filters
+and projections), and an actual row count (:func:`few_rows`) for small
+tables derived by joins and aggregations, whose estimate Catalyst inflates.
+A side over its bound is joined by shuffle; AQE may still turn that into a
 broadcast at runtime from the real shuffle sizes, and splits skewed
 partitions of the big side when it does not.
 """
@@ -12,17 +14,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound for an explicit broadcast hint (bytes, Catalyst estimate).
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# Upper bound for an explicit broadcast hint. Parquet bytes: in memory a
+# table takes several times as much.
+DEFAULT_BROADCAST_BYTES = 16 * 1024 * 1024
+# Upper bound for a counted broadcast.
+DEFAULT_BROADCAST_ROWS = 10_000
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate for ``df``; ``None`` if unavailable."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except Exception:  # Spark Connect or an unresolvable plan
-        return None
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate for ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_bound(df: DataFrame) -> int:
@@ -31,9 +32,7 @@ def broadcast_bound(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
-    size = estimated_bytes(df)
-    bound = max_bytes if max_bytes is not None else broadcast_bound(df)
-    return size is not None and size <= bound
+    return estimated_bytes(df) <= (max_bytes if max_bytes is not None else broadcast_bound(df))
 
 
 def maybe_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
@@ -41,6 +40,12 @@ def maybe_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
+def few_rows(df: DataFrame, most: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it is counted to have at most ``most`` rows.
+    The count is a job of its own: use it for small tables only."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
              max_bytes: int | None = None) -> DataFrame:
     """Join a fact-sized frame to a dimension-sized one.

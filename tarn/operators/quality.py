@@ -16,14 +16,27 @@ def check_dim_variables(dim: DataFrame, key: str = "id",
     ``<col>_nulls`` (not_null), ``<key>_duplicates`` (unique: keys that occur
     more than once), ``<col>_rejected`` (accepted_values; NULL passes)."""
     accepted = accepted if accepted is not None else {"agency": S.ACCEPTED_AGENCIES}
-    aggs = [F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in not_null]
-    aggs += [F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*vals)).alias(f"{c}_rejected")
-             for c, vals in accepted.items()]
-    checks = dim.agg(F.count(F.lit(1)).alias("n_rows"), *aggs)
-    dupes = (dim.groupBy(key).count().filter(F.col("count") > 1)
-             .agg(F.count(F.lit(1)).alias(f"{key}_duplicates")))
-    return checks.select(F.lit(1).alias("__k"), "*").join(
-        dupes.select(F.lit(1).alias("__k"), "*"), "__k").drop("__k")
+    checks = {f"{c}_nulls": F.col(c).isNull() for c in not_null}
+    checks |= {f"{c}_rejected": F.col(c).isNotNull() & ~F.col(c).isin(*vals) for c, vals in accepted.items()}
+    # One pass: counts per key, then their sums.
+    per_key = dim.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(cond).alias(n) for n, cond in checks.items()])
+    return per_key.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_rows", *checks)],
+                       F.count_if(F.col("n_rows") > 1).alias(f"{key}_duplicates"))
+
+
+def failed_checks(checks: DataFrame) -> list[str]:
+    """Names of the checks that failed; ``checks`` is their one-row result."""
+    row = checks.first().asDict()
+    return sorted(name for name, n in row.items() if name != "n_rows" and n)
+
+
+def checked(mart: DataFrame, checks: DataFrame, strict: bool = False) -> tuple[DataFrame, list[str]]:
+    """Run the declared checks after a mart is built; returns the mart
+    with the failed checks, or raises when ``strict``."""
+    failed = failed_checks(checks)
+    if failed and strict:
+        raise ValueError(f"quality checks failed: {failed}")
+    return mart, failed
 
 
 def validate_backfill(requests: DataFrame, max_days: int = S.BACKFILL_MAX_DAYS,

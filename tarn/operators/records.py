@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn import schemas as S
-from tarn.functions.values import (censor_symbols, record_key, sanitise_name,
-                                   strip_specials, truncate_cell)
+from tarn.functions.values import (censor_symbols, is_rejected_value, record_key, sanitise_name,
+                                   sanitise_name_col, strip_specials, truncate_cell)
 from tarn.operators.dedup import keep_first
 from tarn.operators.joins import dim_join
 
@@ -37,23 +37,25 @@ def enrich(obs: DataFrame, sites: DataFrame, transfer: DataFrame) -> DataFrame:
 
 
 def build_records(obs: DataFrame, sites: DataFrame, transfer: DataFrame,
-                  keep_params: bool = False) -> DataFrame:
-    """Observations -> keyed, truncated, deduplicated records (core columns
+                  keep_params: bool = False, cell_width: int | None = None) -> DataFrame:
+    """Observations -> keyed, deduplicated records, cells whole unless a
+    ``cell_width`` is given (the reference's is ``S.CELL_WIDTH``; core columns
     plus ``council``, ``created_at`` when present, and ``params`` when
     ``keep_params``: Catalyst cannot prune fields inside the dedup
     aggregate, so the open attribute map only travels when asked for)."""
     j = enrich(obs, sites, transfer)
     t = F.coalesce(F.col("t"), F.lit(S.MISSING_TIME))                      # P11
     # A part missing from the lookups falls back to the raw id instead
-    # of nulling the key (which would collapse a batch onto one row).
-    key = record_key(F.coalesce("lawasiteid", F.lit("unknown")),
+    # of nulling the key (which would collapse a batch onto one row), with
+    # the council, as site ids are unique within a council only.
+    key = record_key(F.coalesce(F.col("lawasiteid"), F.concat(F.lit("unknown-"), F.coalesce("council", F.lit("")))),
                      F.coalesce("councilsiteid", "site"),
                      F.coalesce("lawaname", "variable"),
                      t, "date_start", "date_end")                          # P6
     out = [key.alias("id"), t.alias("t")]
     for c in ["site", "lawasiteid", "lawaname", "variable", "value", "error"]:
-        out.append(truncate_cell(c).alias(c))                              # P10
-    out += [F.col("status_code"), truncate_cell("url").alias("url"), F.col("council")]
+        out.append(truncate_cell(c, cell_width).alias(c))                              # P10
+    out += [F.col("status_code"), truncate_cell("url", cell_width).alias("url"), F.col("council")]
     extra = [c for c in ("created_at", "params") if c in j.columns
              and (c != "params" or keep_params)]
     rec = j.select(*out, *extra)
@@ -69,7 +71,17 @@ def prepare_for_load(records: DataFrame) -> DataFrame:
     return records.select(*cols, F.col("council"), *created)
 
 
-def metadata(records: DataFrame) -> DataFrame:
+def unmatched_counts(enriched: DataFrame) -> DataFrame:
+    """Rows whose site or variable is in no lookup, and rows whose
+    value is rejected as a number; one pass, one row."""
+    return enriched.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("lawasiteid").isNull()).alias("unmatched_sites"),
+        F.count_if(F.col("lawaname").isNull()).alias("unmatched_variables"),
+        F.count_if(is_rejected_value(censor_symbols("value"))).alias("rejected_values"))
+
+
+def metadata(records: DataFrame, cell_width: int | None = None) -> DataFrame:
     """The non-core attributes of each record (the ``params`` map),
     one row per (id, name, value); values cleaned of specials, names made
     column-safe. Long form instead of one column per attribute: the
@@ -77,13 +89,14 @@ def metadata(records: DataFrame) -> DataFrame:
     kv = records.select("id", F.explode("params").alias("name", "value"))
     return kv.select(
         "id",
-        F.regexp_replace("name", r"[^\w]", "_").alias("name"),
-        strip_specials(truncate_cell("value")).alias("value"))
+        sanitise_name_col("name").alias("name"),
+        strip_specials(truncate_cell("value", cell_width)).alias("value"))
 
 
-def request_counts(records: DataFrame) -> DataFrame:
-    """A4: number of requests (distinct URLs) and of failed rows."""
-    return records.agg(
+def request_counts(observations: DataFrame) -> DataFrame:
+    """A4: number of requests (distinct URLs) and of failed rows, of the
+    observations as landed (before enrichment and dedup)."""
+    return observations.agg(
         F.count_distinct("url").alias("n_requests"),
         F.count_if(F.col("error").isNotNull()).alias("n_failed"))
 
@@ -99,4 +112,4 @@ def column_widths(df: DataFrame, max_length: int) -> DataFrame:
 
 
 __all__ = ["enrich", "build_records", "prepare_for_load", "metadata",
-           "request_counts", "column_widths", "sanitise_name"]
+           "request_counts", "unmatched_counts", "column_widths", "sanitise_name"]

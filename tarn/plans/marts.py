@@ -14,17 +14,19 @@ from pyspark.sql import functions as F
 from tarn import schemas as S
 from tarn.functions.values import (adjusted_value, censor_marker, numeric_value,
                                    obs_time)
-from tarn.operators.joins import dim_join
+from tarn.operators.joins import dim_join, few_rows
 
 SUMMARY_KEYS = ["siteid", "lawasiteid", "councilsiteid", "variable",
                 "latitude", "longitude", "council"]
 SITE_COLUMNS = S.SITE_VARS + ["lawa_site", "created_at"]
 
 
-def _site_cond(rec: DataFrame, sites: DataFrame, compat: bool):
-    cond = rec["site"] == sites["councilsiteid"]
+def _site_cond(compat: bool):
+    """Join of records (alias ``rec``) and sites (alias ``site``); aliases
+    keep it unambiguous when both come from one table."""
+    cond = F.col("rec.site") == F.col("site.councilsiteid")
     if not compat:
-        cond = cond & (rec["__rec_council"] == sites["council"])
+        cond = cond & (F.col("rec.__rec_council") == F.col("site.council"))
     return cond
 
 
@@ -33,26 +35,30 @@ def fact_records(records: DataFrame, sites: DataFrame, compat: bool = False,
     """Typed, censor-adjusted records with their site."""
     rec = records.select(
         "id", "t", "site", "lawaname", "value", "error", "url",
-        F.col("council").alias("__rec_council"), "created_at")
-    site = sites.select(*SITE_COLUMNS)
-    j = dim_join(rec, site, _site_cond(rec, site, compat), "left")
-    value_numeric = numeric_value(rec["value"])
-    censored = censor_marker(rec["value"])
+        F.col("council").alias("__rec_council"), "created_at",
+        *(["updated_at"] if "updated_at" in records.columns else []))
+    site = sites.select(*SITE_COLUMNS).alias("site")
+    j = dim_join(rec.alias("rec"), site, _site_cond(compat), "left")
+    r = lambda c: F.col(f"rec.{c}")
+    value_numeric = numeric_value(r("value"))
+    censored = censor_marker(r("value"))
     cols = [
-        rec["id"],
-        obs_time(rec["t"]).alias("datetime_var"),
-        rec["error"],
-        rec["site"].alias("site_id"),
-        rec["lawaname"].alias("variable"),
-        rec["value"].alias("raw_value"),
+        r("id").alias("id"),
+        obs_time(r("t")).alias("datetime_var"),
+        r("error").alias("error"),
+        r("site").alias("site_id"),
+        r("lawaname").alias("variable"),
+        r("value").alias("raw_value"),
         value_numeric.alias("value_numeric"),
         censored.alias("censored"),
-        rec["url"].alias("data_url"),
-        rec["created_at"].alias("data_created_at"),
+        r("url").alias("data_url"),
+        r("created_at").alias("data_created_at"),
     ]
+    if "updated_at" in records.columns:                                  # X2: when it was corrected
+        cols.append(r("updated_at").alias("data_updated_at"))
     if with_clock:
         cols.append(F.current_timestamp().cast("timestamp_ntz").alias("last_updated"))
-    cols += [site[c] for c in SITE_COLUMNS]
+    cols += [F.col(f"site.{c}").alias(c) for c in SITE_COLUMNS]
     cols.append(adjusted_value(censored, value_numeric).alias("adjusted_value"))
     return j.select(*cols)
 
@@ -94,9 +100,9 @@ def fact_summary_errors(facts: DataFrame, compat: bool = False) -> DataFrame:
 def dim_sites(records: DataFrame, sites: DataFrame, compat: bool = False) -> DataFrame:
     """Each record id with its site's catalog row."""
     rec = records.select("id", "variable", "site", F.col("council").alias("__rec_council"))
-    site = sites.select(*SITE_COLUMNS)
-    j = dim_join(rec, site, _site_cond(rec, site, compat), "left")
-    return j.select(rec["id"], rec["variable"], *[site[c] for c in SITE_COLUMNS])
+    site = sites.select(*SITE_COLUMNS).alias("site")
+    j = dim_join(rec.alias("rec"), site, _site_cond(compat), "left")
+    return j.select(F.col("rec.id").alias("id"), F.col("rec.variable").alias("variable"), *[F.col(f"site.{c}").alias(c) for c in SITE_COLUMNS])
 
 
 def dim_variables(records: DataFrame, transfer: DataFrame, compat: bool = False) -> DataFrame:
@@ -136,13 +142,35 @@ def unpivot_metadata(meta: DataFrame, ids=("id",), exclude=("created_at",)) -> D
     return cast.unpivot(ids, cols, "variable", "value")
 
 
-def new_since(records: DataFrame, mart: DataFrame | None, mart_time: str = "data_created_at",
-              record_time: str = "created_at") -> DataFrame:
-    """K8: records loaded after the mart's high-water mark (all of them when
-    the mart is absent or empty: a NULL mark means take all)."""
-    if mart is None:
+def _changed(df: DataFrame, columns):
+    """When a row last changed: the first of ``columns`` that is set."""
+    return F.coalesce(*[F.col(c) for c in columns if c in df.columns])
+
+
+def new_since(records: DataFrame, mart: DataFrame | None, full_refresh: bool = False,
+              mart_time=("data_updated_at", "data_created_at"),
+              record_time=("updated_at", "created_at")) -> DataFrame:
+    """Records loaded or corrected since the mart's high-water mark
+    (all of them when the mart is absent or empty, or on ``full_refresh``).
+    Rows of the mark's own time are taken again: another load may carry the
+    same time, and :func:`merge_mart` makes taking a row twice harmless."""
+    if mart is None or full_refresh:
         return records
     # Scalar subquery: Catalyst runs the max once and folds it into the
     # filter; no join, and no value passes through the driver.
-    mark = mart.select(F.max(mart_time)).scalar()
-    return records.filter(mark.isNull() | (F.col(record_time) > mark))
+    mark = mart.select(F.max(_changed(mart, mart_time))).scalar()
+    return records.filter(mark.isNull() | (_changed(records, record_time) >= mark))
+
+
+def merge_mart(mart: DataFrame, increment: DataFrame, key: str = "id") -> DataFrame:
+    """The mart with the increment's rows replacing those of their key."""
+    kept = mart.join(increment.select(key).distinct(), key, "left_anti")
+    return kept.unionByName(increment, allowMissingColumns=True)
+
+
+def accumulate_daily(existing: DataFrame, fresh: DataFrame, day: str = "created_at_date") -> DataFrame:
+    """The daily diagnostics with the days of ``fresh`` replaced,
+    all other days kept (they accumulate)."""
+    days = few_rows(fresh.select(F.col(day).alias("__day")).distinct())
+    kept = existing.join(days, existing[day].eqNullSafe(days["__day"]), "left_anti")
+    return kept.unionByName(fresh)

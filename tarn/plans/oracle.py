@@ -18,25 +18,28 @@ catalog AS (
     CAST(c_custkey + 40000 AS VARCHAR) AS lfenzid,
     c_mktsegment AS ltype,
     CASE WHEN c_acctbal < 0 THEN 'Riverine' ELSE 'Glacial' END AS geomorphicltype,
-    r_name AS region, council AS agency, c_name AS catchment,
+    r_name AS region, council AS agency, c_name || CASE WHEN copy = 1 THEN ' (old)' ELSE '' END AS catchment,
     CASE WHEN c_acctbal > 0 THEN 'Yes' ELSE 'No' END AS lwquality,
     CASE WHEN c_mktsegment = 'MACHINERY' THEN 'yes' ELSE 'no' END AS macro,
     CASE WHEN c_mktsegment = 'BUILDING' THEN 'TRUE' ELSE 'false' END AS swquality,
-    '-' || CAST(c_nationkey + 35 AS VARCHAR) || '.' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS latitude,
+    '-' || CAST(n_nationkey + 35 AS VARCHAR) || '.' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS latitude,
     CAST(n_regionkey + 166 AS VARCHAR) || '.' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS longitude,
     council,
     'https://' || council || '.example.org/wfs?service=WFS&request=GetFeature' AS url,
     'success' AS status, council AS partition_key
-  FROM customer JOIN geo ON c_nationkey = n_nationkey),
+  FROM (SELECT customer.*, geo.*, 0 AS copy FROM customer JOIN geo ON c_nationkey = n_nationkey
+        UNION ALL SELECT customer.*, geo.*, 0 FROM customer JOIN geo ON (c_nationkey + 1) % 25 = n_nationkey WHERE c_custkey % 10 = 0
+        UNION ALL SELECT customer.*, geo.*, 1 FROM customer JOIN geo ON c_nationkey = n_nationkey WHERE c_custkey % 15 = 0) c),
 sites AS (
   SELECT *, 'yes' AS lawa_site, TIMESTAMP '2024-01-01 00:00:00' AS created_at
-  FROM catalog WHERE lower(lwquality) IN ('y', 'yes', 'true'))"""
+  FROM catalog WHERE lower(lwquality) IN ('y', 'yes', 'true')
+  QUALIFY row_number() OVER (PARTITION BY siteid, councilsiteid, lawasiteid ORDER BY catchment) = 1)"""
 
 EV_SITE = """
 ev_site AS (
   SELECT e.*, lower(n.n_name) AS council
-  FROM events e JOIN customer c ON e.user_id = c.c_custkey
-  JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
+  FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
 
 TRANSFER = EV_SITE + """,
 transfer AS (
@@ -77,14 +80,13 @@ enriched AS (
   LEFT JOIN sites s ON o.site = s.councilsiteid AND o.council = s.council
   LEFT JOIN transfer tr ON o.variable = tr.callname AND o.council = tr.agency),
 keyed AS (
-  SELECT coalesce(lawasiteid, 'unknown') || '_' || coalesce(councilsiteid, site) || '_'
+  SELECT coalesce(lawasiteid, 'unknown-' || coalesce(council, '')) || '_' || coalesce(councilsiteid, site) || '_'
       || coalesce(lawaname, variable) || '_'
       || CASE WHEN lower(coalesce(t, 'missing')) = 'missing'
               THEN 'error-' || date_start || '-' || date_end
               ELSE coalesce(t, 'missing') END AS id,
-    coalesce(t, 'missing') AS t, left(site, 253) AS site, left(lawasiteid, 253) AS lawasiteid,
-    left(lawaname, 253) AS lawaname, left(variable, 253) AS variable, left(value, 253) AS value,
-    left(error, 253) AS error, status_code, left(url, 253) AS url, council, created_at
+    coalesce(t, 'missing') AS t, site, lawasiteid, lawaname, variable, value, error, status_code, url,
+    council, created_at, event_id, props
   FROM enriched),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY
@@ -137,10 +139,10 @@ fr AS (
 
 EV_PAGED = EV_SITE + """,
 ev AS (
-  SELECT *, strftime(ts, '%Y-%m-%d') AS day, event_id // 256 AS page,
+  SELECT *, strftime(ts - to_days(CAST((day(ts) - 1) % 10 AS INTEGER)), '%Y-%m-%d') AS day, event_id // 65536 AS page,
     'https://' || council || '.example.org/sos?service=SOS&request=GetObservation'
-      || '&From=' || strftime(ts, '%Y-%m-%d') || '&To=2030-01-01&Site=' || CAST(user_id AS VARCHAR)
-      || '&Measurement=' || event_type || '&Page=' || CAST(event_id // 256 AS VARCHAR) AS url
+      || '&From=' || strftime(ts - to_days(CAST((day(ts) - 1) % 10 AS INTEGER)), '%Y-%m-%d') || '&To=2030-01-01&Site=' || CAST(user_id AS VARCHAR)
+      || '&Measurement=' || event_type || '&Page=' || CAST(event_id // 65536 AS VARCHAR) AS url
   FROM ev_site)"""
 
 S1 = "WITH " + EV_PAGED + """
@@ -201,6 +203,34 @@ FROM s"""
 
 ROUTED = SITES.replace(",\nsites AS (", ",\nunused AS (") + """,
 routed AS (
-  SELECT 'lwq' AS module, * FROM catalog WHERE lower(lwquality) IN ('y', 'yes', 'true')
-  UNION ALL SELECT 'mac' AS module, * FROM catalog WHERE lower(macro) IN ('y', 'yes', 'true')
-  UNION ALL SELECT 'swq' AS module, * FROM catalog WHERE lower(swquality) IN ('y', 'yes', 'true'))"""
+  SELECT * FROM (
+    SELECT 'lwq' AS module, * FROM catalog WHERE lower(lwquality) IN ('y', 'yes', 'true')
+    UNION ALL SELECT 'mac' AS module, * FROM catalog WHERE lower(macro) IN ('y', 'yes', 'true')
+    UNION ALL SELECT 'swq' AS module, * FROM catalog WHERE lower(swquality) IN ('y', 'yes', 'true')) m
+  QUALIFY row_number() OVER (PARTITION BY module, siteid, councilsiteid, lawasiteid ORDER BY catchment) = 1)"""
+
+# The landed responses as records (T1-T3): the rules of RECORDS over the
+# rows of S1, whose URLs carry a page and whose period starts the window.
+STREAMED = RECORDS.replace("FROM obs o", "FROM landed o") .replace("enriched AS (", """landed AS (
+  SELECT x.url, x.status_code, x.error, x.site, x.variable, x.council, x.t, x.value,
+    regexp_extract(x.url, 'From=([0-9-]+)', 1) AS date_start, '2030-01-01' AS date_end,
+    CAST(NULL AS TIMESTAMP) AS created_at, x.event_id, x.props
+  FROM (""" + S1 + """) x),
+enriched AS (""", 1)
+
+# The raw table after a batch of new and corrected records (K8, K10):
+# records loaded before the cut stay, some with a corrected value, later
+# ones arrive with the batch.
+def corrected(cut: str, batch_ts: str) -> str:
+    return RECORDS + f""",
+cur AS (
+  SELECT * REPLACE (
+      CASE WHEN created_at < TIMESTAMP '{cut}' AND right(id, 1) = '7' THEN '42' ELSE value END AS value,
+      CASE WHEN created_at < TIMESTAMP '{cut}' THEN created_at ELSE TIMESTAMP '{batch_ts}' END AS created_at),
+    CASE WHEN created_at < TIMESTAMP '{cut}' AND right(id, 1) = '7' THEN TIMESTAMP '{batch_ts}' END AS updated_at
+  FROM lwq_data)"""
+
+
+def corrected_facts(cut: str, batch_ts: str) -> str:
+    marts = fact_records().removeprefix(RECORDS).replace("FROM lwq_data r", "FROM cur r")
+    return corrected(cut, batch_ts) + marts.replace("r.created_at AS data_created_at,", "r.created_at AS data_created_at, r.updated_at AS data_updated_at,")

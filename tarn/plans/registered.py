@@ -143,6 +143,31 @@ def q_dim_error(spark, sf):
     return marts.dim_error(td.raw_records(spark, sf), with_clock=False)
 
 
+# --- marts in the reference's literal reading (X4: dates of the site load) ----
+
+@register("A1_fact_summary_compat", A1_SQL.replace(O.fact_records(), O.fact_records(compat=True)).replace("max(data_created_at)", "max(created_at)").replace("min(data_created_at)", "min(created_at)"))
+def q_summary_compat(spark, sf):
+    fs = marts.fact_summary(_facts(spark, sf, compat=True), td.sites_latest(spark, sf), compat=True)
+    return fs.withColumn("average_value", F.round("average_value", 6))
+
+
+@register("A2_fact_summary_errors_compat", A2_SQL.replace(O.fact_records(), O.fact_records(compat=True)).replace("CAST(data_created_at AS DATE)", "CAST(created_at AS DATE)"))
+def q_errors_compat(spark, sf):
+    fse = marts.fact_summary_errors(_facts(spark, sf, compat=True), compat=True)
+    return fse.withColumn("variables", F.array_join("variables", ","))
+
+
+@register("J10_star", "WITH " + O.fact_records() + """
+SELECT fr.*, t.agency AS dim_agency, t.callname AS dim_callname, s2.lawasiteid AS dim_lawasiteid, l.status_code AS dim_status_code
+FROM fr JOIN lwq_data l ON fr.id = l.id
+LEFT JOIN transfer t ON l.variable = t.callname AND l.council = t.agency
+LEFT JOIN sites s2 ON l.site = s2.councilsiteid AND l.council = s2.council""")
+def q_star(spark, sf):
+    rec, sites, transfer = td.raw_records(spark, sf), td.sites_latest(spark, sf), td.transfer_table(spark, sf)
+    return marts.star(_facts(spark, sf), marts.dim_variables(rec, transfer), marts.dim_sites(rec, sites),
+                      marts.dim_error(rec, with_clock=False))
+
+
 # --- store: upsert, history, insert-if-absent, keep-first, evolution ---------
 
 LINE_SQL = f"""
@@ -205,6 +230,61 @@ def q_insert_missing(spark, sf):
     return insert_missing(td.upsert_target(spark, sf), td.upsert_source(spark, sf), "id")
 
 
+STORED_SQL = "WITH " + LINE_SQL + _src_sql("1.0") + """, merged AS (
+  SELECT s.id, s.value, lower(s.council) AS council,
+    CASE WHEN t.id IS NOT NULL THEN TIMESTAMP '{first}' ELSE TIMESTAMP '{second}' END AS created_at,
+    CASE WHEN t.id IS NOT NULL THEN TIMESTAMP '{second}' END AS updated_at
+  FROM src s LEFT JOIN tgt t ON s.id = t.id
+  UNION ALL
+  SELECT t.id, t.value, lower(t.council), TIMESTAMP '{first}', CAST(NULL AS TIMESTAMP)
+  FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.id = t.id)) """.format(first="2001-01-01 00:00:00", second=td.UPSERT_BATCH_TS)
+
+
+def _stored(spark, sf):
+    """Two batches written to a stored table, the second one twice (a replay)."""
+    import uuid
+
+    from tarn.operators.store import write_upsert
+    from tarn.session import scratch_dir
+    base = scratch_dir(spark, f"stored-{uuid.uuid4().hex}")
+    table, history = f"{base}/table", f"{base}/history"
+    write_upsert(spark, td.upsert_target(spark, sf).drop("created_at"), table, history, "2001-01-01 00:00:00")
+    source = td.upsert_source(spark, sf, bump=1.0)
+    write_upsert(spark, source, table, history, td.UPSERT_BATCH_TS)
+    write_upsert(spark, source, table, history, td.UPSERT_BATCH_TS)
+    return table, history
+
+
+@register("K4_upsert_stored", STORED_SQL + "SELECT * FROM merged")
+def q_upsert_stored(spark, sf):
+    from tarn.operators.store import read
+    return read(spark, _stored(spark, sf)[0]).select("id", "value", "council", "created_at", "updated_at")
+
+
+@register("K5_history_stored", STORED_SQL + f"""
+SELECT t.id, t.value, lower(t.council) AS council, TIMESTAMP '2001-01-01 00:00:00' AS created_at,
+  TIMESTAMP '{td.UPSERT_BATCH_TS}' AS updated_at
+FROM tgt t JOIN src s ON t.id = s.id WHERE t.value != s.value""")
+def q_history_stored(spark, sf):
+    from tarn.operators.store import read
+    return read(spark, _stored(spark, sf)[1]).select("id", "value", "council", "created_at", "updated_at")
+
+
+@register("K9_full_rebuild", "WITH " + LINE_SQL + _src_sql("0.0") + """
+SELECT id, value, council FROM src WHERE council <> 'R'""")
+def q_full_rebuild(spark, sf):
+    """A partitioned table of both batches, rebuilt from the second one
+    without one council: nothing of the first stays."""
+    import uuid
+
+    from tarn.operators.store import full_rebuild, read
+    from tarn.session import scratch_dir
+    path = scratch_dir(spark, f"rebuilt-{uuid.uuid4().hex}/table")
+    full_rebuild(td.upsert_target(spark, sf).drop("created_at"), path, "council")
+    full_rebuild(td.upsert_source(spark, sf).filter("council <> 'R'"), path, "council")
+    return read(spark, path).select("id", "value", "council")
+
+
 A6_SQL = """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
@@ -428,12 +508,13 @@ def q_manifest(spark, sf):
 # --- reshape, metadata, profiles, counts, increments ---------------------------
 
 @register("R1_unpivot", """
-SELECT p_partkey, 'p_brand' AS variable, p_brand AS value FROM part
+SELECT p_partkey, 'p_name' AS variable, p_name AS value FROM part
+UNION ALL SELECT p_partkey, 'p_brand', p_brand FROM part
 UNION ALL SELECT p_partkey, 'p_type', p_type FROM part
-UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS VARCHAR) FROM part""")
+UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS VARCHAR) FROM part
+UNION ALL SELECT p_partkey, 'p_retailprice', CAST(p_retailprice AS VARCHAR) FROM part""")
 def q_unpivot(spark, sf):
-    part = td.table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size")
-    return marts.unpivot_metadata(part, ids=["p_partkey"], exclude=())
+    return marts.unpivot_metadata(td.table(spark, sf, "part"), ids=["p_partkey"], exclude=())
 
 
 @register("R2_P9_parameters", "WITH " + O.EV_PAGED + """
@@ -442,16 +523,56 @@ SELECT url, CASE WHEN event_id % 37 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%g'
        ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS t, name, value
 FROM (SELECT url, ts, event_id, event_type, 'EventId' AS name, CAST(event_id AS VARCHAR) AS value FROM ev
       UNION ALL SELECT url, ts, event_id, event_type, 'Props',
-        regexp_replace(props, '[^\\w\\s]', '', 'g') FROM ev) x
+        regexp_replace(props, '[^\\w\\s]', '', 'g') FROM ev
+      UNION ALL SELECT url, ts, event_id, event_type, 'Lāke_Nō', 'ō' || CAST(event_id AS VARCHAR) FROM ev WHERE event_id % 5 = 0) x
 WHERE event_type <> 'error'""")
 def q_parameters(spark, sf):
     """Open Parameter attributes as (name, value) rows, values cleaned."""
-    from tarn.functions.values import strip_specials, truncate_cell
+    from tarn.functions.values import sanitise_name_col, strip_specials
     from tarn.sources.landing import explode_responses
     rows = explode_responses(td.landed_responses(spark, sf)).filter(F.col("error").isNull())
     kv = rows.select("url", "t", F.explode("params").alias("name", "raw"))
-    return kv.select("url", "t", F.regexp_replace("name", r"[^\w]", "_").alias("name"),
-                     strip_specials(truncate_cell("raw")).alias("value"))
+    return kv.select("url", "t", sanitise_name_col("name").alias("name"), strip_specials("raw").alias("value"))
+
+
+@register("P7_metadata", "WITH " + O.RECORDS + """
+SELECT id, name, value FROM (
+  SELECT id, t, 'EventId' AS name, CAST(event_id AS VARCHAR) AS value FROM ranked WHERE rn = 1 AND error IS NULL
+  UNION ALL SELECT id, t, 'Props', regexp_replace(props, '[^\\w\\s]', '', 'g') FROM ranked WHERE rn = 1 AND error IS NULL) x""")
+def q_metadata(spark, sf):
+    """The open attributes of the kept records, in long form."""
+    from tarn.operators.records import build_records, metadata
+    return metadata(build_records(td.observations(spark, sf), td.sites_latest(spark, sf), td.transfer_table(spark, sf), keep_params=True))
+
+
+@register("P10_truncate_compat", "SELECT doc_id, left(text, 253) AS text, CAST(length(left(text, 253)) AS INTEGER) AS width FROM documents")
+def q_truncate_compat(spark, sf):
+    """The reference's cell width, on texts that exceed it."""
+    from tarn import schemas as S
+    from tarn.functions.values import truncate_cell
+    cut = td.table(spark, sf, "documents").select("doc_id", truncate_cell("text", S.CELL_WIDTH).alias("text"))
+    return cut.withColumn("width", F.length("text"))
+
+
+@register("X7_unmatched_counts", "WITH " + O.RECORDS + f""", v AS (
+  SELECT *, CASE WHEN value LIKE '<%' THEN 'less_than_' || substr(value, 2)
+                 WHEN value LIKE '>%' THEN 'greater_than_' || substr(value, 2) ELSE value END AS pv FROM enriched)
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE lawasiteid IS NULL) AS unmatched_sites,
+  count(*) FILTER (WHERE lawaname IS NULL) AS unmatched_variables,
+  count(*) FILTER (WHERE pv IS NOT NULL AND pv NOT LIKE '%than_%' AND pv NOT IN ('None', 'missing', 'NA', '*', '')
+                   AND NOT regexp_matches(pv, '{O.NUMERIC_RE}')) AS rejected_values
+FROM v""")
+def q_unmatched(spark, sf):
+    from tarn.operators.records import enrich, unmatched_counts
+    return unmatched_counts(enrich(td.observations(spark, sf), td.sites_latest(spark, sf), td.transfer_table(spark, sf)))
+
+
+@register("P13_capped_sites", "WITH " + O.SITES + """
+SELECT council, councilsiteid FROM sites
+QUALIFY row_number() OVER (PARTITION BY council ORDER BY councilsiteid) <= 5""")
+def q_capped(spark, sf):
+    from tarn.operators.manifest import cap_sites
+    return cap_sites(td.sites_latest(spark, sf).select("council", "councilsiteid"), 5)
 
 
 A9_COLS = ["id", "t", "site", "lawasiteid", "lawaname", "variable", "value", "error", "status_code",
@@ -470,25 +591,61 @@ def q_widths(spark, sf):
 
 @register("A4_request_counts", "WITH " + O.RECORDS + """
 SELECT count(DISTINCT url) AS n_requests, count(*) FILTER (WHERE error IS NOT NULL) AS n_failed
-FROM lwq_data""")
+FROM obs""")
 def q_counts(spark, sf):
     from tarn.operators.records import request_counts
-    return request_counts(td.raw_records(spark, sf))
+    return request_counts(td.observations(spark, sf))
 
 
 K8_CUT = "2024-01-20"
 
 
-@register("K8_increment", "WITH " + O.RECORDS + f"""
-SELECT * FROM lwq_data
-WHERE created_at > (SELECT max(created_at) FROM lwq_data WHERE created_at < TIMESTAMP '{K8_CUT}')""")
-def q_increment(spark, sf):
-    """Records newer than the mart's high-water mark, the mart having been
-    built from the loads before K8_CUT."""
+K8_BATCH_TS = "2024-03-01 00:00:00"
+
+
+def _corrected(spark, sf):
+    """The raw table before and after a batch of new and corrected records."""
+    from tarn.operators.store import upsert
     rec = td.raw_records(spark, sf)
-    old = rec.filter(F.col("created_at") < F.lit(K8_CUT).cast("timestamp_ntz"))
-    mart = marts.fact_records(old, td.sites_latest(spark, sf), with_clock=False)
-    return marts.new_since(rec, mart)
+    is_old = F.col("created_at") < F.lit(K8_CUT).cast("timestamp_ntz")
+    fixed = F.substring(F.col("id"), -1, 1) == "7"
+    old = rec.filter(is_old)
+    batch = (rec.filter(~is_old | fixed)
+             .withColumn("value", F.when(is_old & fixed, F.lit("42")).otherwise(F.col("value"))).drop("created_at"))
+    return old, upsert(old, batch, "id", K8_BATCH_TS)
+
+
+@register("K8_increment", "WITH " + O.corrected(K8_CUT, K8_BATCH_TS) + f"""
+SELECT * FROM cur
+WHERE coalesce(updated_at, created_at) >= (SELECT max(created_at) FROM lwq_data WHERE created_at < TIMESTAMP '{K8_CUT}')""")
+def q_increment(spark, sf):
+    """Records new or corrected since the mart's high-water mark, the mart
+    having been built from the loads before K8_CUT."""
+    old, current = _corrected(spark, sf)
+    return marts.new_since(current, marts.fact_records(old, td.sites_latest(spark, sf), with_clock=False))
+
+
+@register("K8_mart_merge", "WITH " + O.corrected_facts(K8_CUT, K8_BATCH_TS) + " SELECT * FROM fr")
+def q_mart_merge(spark, sf):
+    """The mart after its increment: corrected values have reached it."""
+    old, current = _corrected(spark, sf)
+    sites = td.sites_latest(spark, sf)
+    mart = marts.fact_records(old, sites, with_clock=False)
+    return marts.merge_mart(mart, marts.fact_records(marts.new_since(current, mart), sites, with_clock=False))
+
+
+@register("K10_daily_diagnostics", A2_SQL.replace(O.fact_records(), O.corrected_facts(K8_CUT, K8_BATCH_TS)))
+def q_daily(spark, sf):
+    """Daily diagnostics of the first loads, then the days that the next
+    batch touches replaced."""
+    old, current = _corrected(spark, sf)
+    sites = td.sites_latest(spark, sf)
+    facts_old, facts_now = (marts.fact_records(r, sites, with_clock=False) for r in (old, current))
+    touched = (marts.new_since(current, facts_old).select(F.to_date("created_at").alias("__d")).distinct())
+    from tarn.operators.joins import few_rows
+    fresh = facts_now.join(few_rows(touched), F.to_date("data_created_at") == F.col("__d"), "left_semi")
+    out = marts.accumulate_daily(marts.fact_summary_errors(facts_old), marts.fact_summary_errors(fresh))
+    return out.withColumn("variables", F.array_join("variables", ","))
 
 
 @register("K3_replace_slice", "WITH " + O.SITES + ", gml AS (" + O.S3 + """),
@@ -506,12 +663,13 @@ def q_replace_slice(spark, sf):
     return replace_slice(td.sites_latest(spark, sf), batch)
 
 
-# --- streaming (rows-only check; equality with the batch path is a test) -----
+# --- streaming ----------------------------------------------------------------
 
 STREAM_LATE_BEFORE = "2024-01-15"
 
 
-@register("T1_T3_streaming_ingest", None)
+@register("T1_T3_streaming_ingest", "WITH " + O.STREAMED + """
+SELECT id, t, site, lawasiteid, lawaname, variable, value, error, status_code, url, council FROM lwq_data""")
 def q_streaming(spark, sf):
     """Landed responses arrive in two waves, the older days second; the
     stream ingests each wave as it lands (no watermark) and the table
@@ -529,5 +687,6 @@ def q_streaming(spark, sf):
     ingest(spark, land, table, hist, ck, sites, transfer, batch_ts="2024-02-01 00:00:00")
     landed.filter(late).write.mode("append").parquet(land)
     ingest(spark, land, table, hist, ck, sites, transfer, batch_ts="2024-02-02 00:00:00")
-    return spark.read.parquet(table).select("id", "t", "site", "lawasiteid", "lawaname", "variable",
+    from tarn.operators.store import read
+    return read(spark, table).select("id", "t", "site", "lawasiteid", "lawaname", "variable",
                                             "value", "error", "status_code", "url", "council")

@@ -36,11 +36,10 @@ def distinct_rows(df: DataFrame, cols=SITE_KEY) -> DataFrame:
 def site_metrics(sites: DataFrame, summary_view: DataFrame) -> DataFrame:
     """V3 metrics: sites published, sites with data for the parameter.
     Both counts are aggregates of distributed distincts, one row out."""
-    published = distinct_rows(sites).agg(F.count(F.lit(1)).alias("sites_published"))
-    with_data = distinct_rows(summary_view).agg(F.count(F.lit(1)).alias("sites_with_data"))
-    # Two one-row aggregates side by side.
-    return published.select(F.lit(1).alias("__k"), "*").join(
-        with_data.select(F.lit(1).alias("__k"), "*"), "__k").drop("__k")
+    both = (distinct_rows(sites).withColumn("published", F.lit(1))
+            .unionByName(distinct_rows(summary_view).withColumn("published", F.lit(0))))
+    return both.agg(F.count_if(F.col("published") == 1).alias("sites_published"),
+                    F.count_if(F.col("published") == 0).alias("sites_with_data"))
 
 
 def map_points(summary_view: DataFrame) -> DataFrame:

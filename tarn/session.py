@@ -18,8 +18,6 @@ SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Repeated XML/GML names: the last occurrence wins (map_from_entries).
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-    # Replace-slice and snapshot writes touch only the partitions written.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Runtime re-planning: coalesce small shuffles, split skewed join
     # partitions, turn small-side sort-merge joins into broadcasts.
     "spark.sql.adaptive.enabled": "true",
@@ -46,7 +44,7 @@ def get_session(master: str | None = None, app_name: str = "tarn",
     builder = (builder
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", os.environ.get("TARN_DRIVER_MEMORY", "16g"))
+               .config("spark.driver.memory", os.environ.get("TARN_DRIVER_MEMORY", "8g"))
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -62,11 +60,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the deployer sets it to shared storage and it is used as
-    is. Only when it is unset (local tests) do we point it at a fresh
-    scratch folder.
+    is. Only when it is unset and the master is local (tests) do we point
+    it at a fresh scratch folder: elsewhere executors would not share it.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tarn-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -79,26 +79,47 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base.rstrip("/"), name)
 
 
-def stored_table(spark: SparkSession, name: str, build, key: str = ""):
+def stored_table(spark: SparkSession, name: str, build, source_dir: str = ""):
     """Read the table ``name`` from the shared folder, writing it from
     ``build()`` first when it is absent.
 
     Used for tables the pipeline keeps (site and variable lookups, the raw
     records): reading them back from Parquet gives Catalyst real file
     sizes, so broadcast decisions rest on a measured size, and it cuts the
-    lineage of everything built on them.
+    lineage of everything built on them. The table's folder is named by the
+    code and by the files of ``source_dir`` (names, sizes, times), so
+    changed input is read again. It is written aside and moved into place:
+    two sessions cannot write into one folder.
     """
     import hashlib
+    import uuid
 
-    tag = hashlib.sha1(f"{name}|{key}|{_code_tag()}".encode()).hexdigest()[:12]
+    tag = hashlib.sha1(f"{name}|{source_dir}|{_files_tag(spark, source_dir)}|{_code_tag()}".encode()).hexdigest()[:16]
     path = scratch_dir(spark, f"tables/{name}-{tag}")
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
-        build().write.mode("overwrite").parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}-{uuid.uuid4().hex}")
+        df = build()
+        df.write.parquet(aside.toString())
+        if fs.exists(target) or not fs.rename(aside, target):
+            fs.delete(aside, True)                    # another session was first
     return spark.read.parquet(path)
 
 
+def _files_tag(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of the files under ``folder``."""
+    if not folder:
+        return ""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return "|".join(sorted(found))
+
+
 def _code_tag() -> str:
     """Digest of the package sources, so a stored table built by other code
     is never reused."""

@@ -16,10 +16,9 @@ from pyspark.sql import functions as F
 
 from tarn import schemas as S
 from tarn.functions.values import split_position
-from tarn.operators.joins import dim_join
-from tarn.sources.landing import decode_entities
+from tarn.operators.joins import few_rows
+from tarn.sources.landing import decode_entities, plain_markup
 
-_COMMENT = r"(?s)<!--.*?-->"
 _FEATURE = r"(?s)<(?:[\w.\-]+:)?featureMember(?:\s[^>]*)?>(.*?)</(?:[\w.\-]+:)?featureMember\s*>"
 # Leaf with text: prefix-insensitive local name (group 1) and text (group 2).
 _LEAF = r"<(?:[\w.\-]+:)?([A-Za-z_][\w.\-]*)(?:\s[^>]*)?>([^<]*)</(?:[\w.\-]+:)?\1\s*>"
@@ -36,7 +35,7 @@ def successful(landed: DataFrame) -> DataFrame:
 def explode_features(landed: DataFrame) -> DataFrame:
     """One row per feature: envelope columns + ``props`` map
     (lower-cased local name -> text; NULL text for empty elements)."""
-    body = F.regexp_replace("raw_data", _COMMENT, "")
+    body = plain_markup(F.col("raw_data"))
     feats = successful(landed).select(
         *ENVELOPE, F.posexplode(F.regexp_extract_all(body, F.lit(_FEATURE), F.lit(1))).alias("feature_no", "f"))
     names = F.regexp_extract_all("f", F.lit(_LEAF), F.lit(1))
@@ -55,12 +54,13 @@ def explode_features(landed: DataFrame) -> DataFrame:
 def parse_catalog(landed: DataFrame, wanted=S.SITE_VARS) -> DataFrame:
     """S3 + S4 + P4 + P5 + P19: typed site rows with the wanted columns."""
     feats = explode_features(landed)
-    # Names present in any feature of the council (bounded by the
-    # number of councils x property names, so it is a small lookup).
+    # Names present in any feature of the council: one row per council,
+    # joined by broadcast when counted to be few (Catalyst's estimate of
+    # this derived table is far too large).
     present = (feats.select("council", F.explode(F.map_keys("props")).alias("name"))
                .distinct()
                .groupBy("council").agg(F.collect_set("name").alias("__present")))
-    j = dim_join(feats, present, "council", "left")
+    j = feats.join(few_rows(present), "council", "left")
     lat, lon = split_position(F.col("props")["pos"])
     has_pos = F.array_contains("__present", "pos")
 

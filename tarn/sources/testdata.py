@@ -52,11 +52,13 @@ def wfs_root(council):
 
 
 def list_of_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FX3: agency -> WFS and SOS endpoints (one row per council)."""
+    """FX3: agency -> WFS and SOS endpoints; some agencies list a second,
+    later root."""
     agency = council_col()
-    return table(spark, sf_dir, "nation").select(
-        agency.alias("agency"), wfs_root(agency).alias("wfs"),
-        sos_root(agency).alias("soslwq"))
+    nation = table(spark, sf_dir, "nation")
+    return nation.select(agency.alias("agency"), wfs_root(agency).alias("wfs"), sos_root(agency).alias("soslwq")).unionByName(
+        nation.filter("n_nationkey % 4 = 0").select(agency.alias("agency"), wfs_root(agency).alias("wfs"),
+                                                    F.concat(F.lit("https://zz-mirror-"), agency, F.lit("/sos?")).alias("soslwq")))
 
 
 def site_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +67,11 @@ def site_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region")
     geo = dim_join(nation, region, nation.n_regionkey == region.r_regionkey, "inner")
     cust = table(spark, sf_dir, "customer")
+    # Some site ids are in the catalog of a second council too, and some
+    # sites stand twice in their own council's catalog.
+    second = cust.filter("c_custkey % 10 = 0").withColumn("c_nationkey", (F.col("c_nationkey") + 1) % 25)
+    cust = (cust.withColumn("copy", F.lit(0)).unionByName(second.withColumn("copy", F.lit(0)))
+            .unionByName(cust.filter("c_custkey % 15 = 0").withColumn("copy", F.lit(1))))
     c = dim_join(cust, geo, cust.c_nationkey == geo.n_nationkey, "inner")
     key = F.col("c_custkey").cast("string")
     council = council_col()
@@ -78,7 +85,7 @@ def site_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_acctbal") < 0, F.lit("Riverine")).otherwise(F.lit("Glacial")).alias("geomorphicltype"),
         F.col("r_name").alias("region"),
         council.alias("agency"),
-        F.col("c_name").alias("catchment"),
+        F.concat(F.col("c_name"), F.when(F.col("copy") == 1, F.lit(" (old)")).otherwise(F.lit(""))).alias("catchment"),
         F.when(F.col("c_acctbal") > 0, F.lit("Yes")).otherwise(F.lit("No")).alias("lwquality"),
         F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("yes")).otherwise(F.lit("no")).alias("macro"),
         F.when(F.col("c_mktsegment") == "BUILDING", F.lit("TRUE")).otherwise(F.lit("false")).alias("swquality"),
@@ -105,12 +112,12 @@ def sites_latest(spark: SparkSession, sf_dir: str, module: str = "lwq") -> DataF
 
 
 def _site_of_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events with the council of their site (every user_id is a customer)."""
+    """events with the council of their site (NULL for a site in no catalog)."""
     ev = table(spark, sf_dir, "events")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nat = table(spark, sf_dir, "nation").select("n_nationkey", council_col().alias("council"))
     sites = dim_join(cust, nat, cust.c_nationkey == nat.n_nationkey, "inner").select("c_custkey", "council")
-    return dim_join(ev, sites, ev.user_id == sites.c_custkey, "inner")
+    return dim_join(ev, sites, ev.user_id == sites.c_custkey, "left")
 
 
 def transfer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +218,7 @@ def upsert_source(spark: SparkSession, sf_dir: str, bump: float = 0.0) -> DataFr
 
 # --- landed bodies (round-trip adaptors for S1-S5) ----------------------------
 
-PAGE_EVENTS = 256      # events per measurement response page
+PAGE_EVENTS = 65536    # events per measurement response page
 PAGE_SITES = 500       # features per catalog page
 CATALOG_TS = "2024-01-01 00:00:00"
 
@@ -224,12 +231,12 @@ def xml_text(c):
 
 
 def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FX1: one landed response per (site, variable, day, page) of events.
+    """FX1: one landed response per (site, variable, ten days, page) of events.
     Error-type groups are failed requests: HTTP 500, or 200 with an empty
     `Data` block when their smallest value is under 5."""
     ev = _site_of_event(spark, sf_dir).select(
         "event_id", "ts", "user_id", "event_type", "value", "props", "council")
-    day = F.date_format("ts", "yyyy-MM-dd")
+    day = F.date_format(F.date_sub(F.to_date("ts"), (F.dayofmonth("ts") - 1) % 10), "yyyy-MM-dd")
     page = F.floor(F.col("event_id") / F.lit(PAGE_EVENTS))
     eid = F.col("event_id")
     num = F.col("value").cast("decimal(18,2)").cast("string")
@@ -246,7 +253,9 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     frag = F.concat(
         F.lit("<E><T>"), t, F.lit("</T><Value>"), xml_text(value),
         F.lit('</Value><Parameter Name="EventId" Value="'), eid.cast("string"),
-        F.lit('"/><Parameter Name="Props" Value="'), xml_text(F.col("props")), F.lit('"/></E>'))
+        F.lit('"/><Parameter Name="Props" Value="'), xml_text(F.col("props")), F.lit('"/>'),
+        F.when(eid % 5 == 0, F.concat(F.lit('<Parameter Name="Lāke Nō" Value="ō'), eid.cast("string"), F.lit('"/>'))).otherwise(F.lit("")),
+        F.lit("</E>"))
     grouped = (ev.select("council", F.col("user_id").cast("string").alias("site"),
                          F.col("event_type").alias("variable"), day.alias("day"), page.alias("page"),
                          "value", F.struct(eid.alias("k"), frag.alias("frag")).alias("e"))

@@ -43,10 +43,29 @@ def test_measurement_shapes(spark):
     assert by["u6"][0]["error"] == "HTTP error: 404" and by["u6"][0]["status_code"] == 404
     assert by["u7"][0]["error"] == "request failed" and by["u7"][0]["status_code"] is None
     assert by["u8"][0]["error"] == "No data found"
-    assert by["u9"][0]["error"] == "Nested Data block"
+    assert [(r["t"], r["value"], r["error"]) for r in by["u9"]] == [("1", "1", None)]
     assert len(rows) == 10
 
 
+def test_nested_blocks_give_each_row_once(spark):
+    body = ("<H><E><T>out</T></E><Data><E><T>1</T><Value>a</Value></E><Data><E><T>2</T><Value>b</Value></E></Data>"
+            "<E><T>3</T><Value>c</Value></E></Data><E><T>out</T></E><Data><E><T>4</T><Value>d</Value></E></Data></H>")
+    assert [(r["t"], r["value"]) for r in run(spark, [("u", "s", "v", 200, body, "c")])] == [("1", "a"), ("2", "b"), ("3", "c"), ("4", "d")]
+
+
+def test_parameter_without_a_name(spark):
+    body = "<H><Data><E><T>1</T><Value>2</Value><Parameter Value='x'/><Parameter Name='k' Value='y'/></E></Data></H>"
+    assert run(spark, [("u", "s", "v", 200, body, "c")])[0]["params"] == {"k": "y"}
+
+
+def test_character_references_and_cdata(spark):
+    body = ("<H><Data><E><T>1</T><Value>&#60;5</Value><Lake>Taup&#333; &amp; W&#x101;naka &amp;#333; &#128032;</Lake>"
+            "<Note><![CDATA[a <b> & </Data> <!-- c -->]]></Note></E><!-- <![CDATA[ --><E><T>2</T><Value>3</Value></E></Data></H>")
+    rows = run(spark, [("u", "s", "v", 200, body, "c")])
+    assert [(r["t"], r["value"], r["error"]) for r in rows] == [("1", "<5", None), ("2", "3", None)]
+    assert rows[0]["params"] == {"Lake": "Taupō & Wānaka &#333; 🐠", "Note": "a <b> & </Data> <!-- c -->"}
+
+
 def test_catalog_shapes(spark):
     a = ('<wfs:FeatureCollection xmlns:wfs="w" xmlns:gml="http://www.opengis.net/gml" xmlns:x="x">'
          '<gml:featureMember><x:Site><x:CouncilSiteID>1</x:CouncilSiteID><x:SiteID>A &amp; B</x:SiteID>'

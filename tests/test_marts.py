@@ -89,7 +89,41 @@ def test_increment_null_mark_takes_all(spark):
     empty = marts.fact_records(recs.limit(0), sites(spark), with_clock=False)
     assert marts.new_since(recs, empty).count() == 3
     full = marts.fact_records(recs, sites(spark), with_clock=False)
-    assert marts.new_since(recs, full).count() == 0
+    # rows of the mark's own time are taken again, later ones too, earlier ones not
+    assert marts.new_since(recs, full).count() == 3
+    late = recs.withColumn("created_at", F.when(F.col("id") == "r1", F.lit(dt.datetime(2024, 1, 1))).otherwise(F.col("created_at")).cast("timestamp_ntz"))
+    assert marts.new_since(late, full).count() == 2
+    assert marts.new_since(late, full, full_refresh=True).count() == 3
+
+
+def test_corrections_reach_the_mart(spark):
+    recs = records(spark).withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
+    mart = marts.fact_records(recs, sites(spark), with_clock=False)
+    fixed = (recs.withColumn("value", F.when(F.col("id") == "r2", F.lit("9")).otherwise(F.col("value")))
+             .withColumn("updated_at", F.when(F.col("id") == "r2", F.lit(dt.datetime(2024, 3, 1))).cast("timestamp_ntz")))
+    merged = marts.merge_mart(mart, marts.fact_records(marts.new_since(fixed, mart), sites(spark), with_clock=False))
+    assert sorted((r["id"], r["raw_value"]) for r in merged.collect()) == [("r1", "less_than_0.5"), ("r2", "9"), ("r3", None)]
+    again = marts.merge_mart(merged, marts.fact_records(marts.new_since(fixed, merged), sites(spark), with_clock=False))
+    assert sorted(map(str, again.collect())) == sorted(map(str, merged.collect()))
+
+
+def test_daily_diagnostics_accumulate(spark):
+    day = lambda d, n: (dt.date(2024, 1, d) if d else None, "ecan", n)
+    schema = "created_at_date date, council string, error_count long"
+    old = spark.createDataFrame([day(1, 1), day(2, 2), day(None, 3)], schema)
+    out = marts.accumulate_daily(old, spark.createDataFrame([day(2, 5), day(None, 7)], schema))
+    assert sorted((str(r[0]), r[2]) for r in out.collect()) == [("2024-01-01", 1), ("2024-01-02", 5), ("None", 7)]
+
+
+def test_checks_after_a_build(spark):
+    import pytest
+    from tarn.operators.quality import checked
+    tr = spark.createDataFrame([("ecan", "TN")], "agency string, callname string")
+    dim = marts.dim_variables(records(spark), tr)
+    _, failed = checked(dim, check_dim_variables(dim))
+    assert failed == ["agency_nulls", "callname_nulls"]
+    with pytest.raises(ValueError):
+        checked(dim, check_dim_variables(dim), strict=True)
 
 
 def test_map_points_and_centre(spark):

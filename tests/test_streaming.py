@@ -3,6 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from tarn.operators.store import read
 from tarn.operators.records import build_records, prepare_for_load
 from tarn.sources import testdata as td
 from tarn.sources.landing import explode_responses
@@ -18,14 +19,28 @@ def test_ingest_keeps_late_data(spark, tmpdir_path):
     # first run: only recent responses; second run: older ones arrive late
     landed.filter(~late).write.mode("append").parquet(land)
     ingest(spark, land, table, hist, ck, sites, transfer, batch_ts="2024-02-01 00:00:00")
-    first = spark.read.parquet(table).count()
+    first = read(spark, table).count()
     landed.filter(late).write.mode("append").parquet(land)
     ingest(spark, land, table, hist, ck, sites, transfer, batch_ts="2024-02-02 00:00:00")
-    got = spark.read.parquet(table)
+    got = read(spark, table)
     want = prepare_for_load(build_records(explode_responses(landed), sites, transfer))
     assert got.count() > first
     assert got.select("id", "value").exceptAll(want.select("id", "value")).count() == 0
     assert want.select("id", "value").exceptAll(got.select("id", "value")).count() == 0
     # a third run with nothing new changes nothing
     ingest(spark, land, table, hist, ck, sites, transfer, batch_ts="2024-02-03 00:00:00")
-    assert spark.read.parquet(table).count() == got.count()
+    assert read(spark, table).count() == got.count()
+
+
+def test_a_new_checkpoint_loses_no_history(spark, tmpdir_path):
+    """Batch numbers start at 0 again; history and corrections stay."""
+    landed = td.landed_responses(spark, SF_SMALL).filter("status_code = 200 AND variable <> 'error'").orderBy("url").limit(20)
+    sites, transfer = td.sites_latest(spark, SF_SMALL), td.transfer_table(spark, SF_SMALL)
+    table, hist = (os.path.join(tmpdir_path, n) for n in ("lwq", "hist"))
+    for n, value in enumerate(["<Value>1</Value>", "<Value>2</Value>", "<Value>3</Value>"]):
+        land = os.path.join(tmpdir_path, f"landing{n}")
+        landed.withColumn("body", F.regexp_replace("body", "<Value>[^<]*</Value>", value)).write.parquet(land)
+        ingest(spark, land, table, hist, os.path.join(tmpdir_path, f"ck{n}"), sites, transfer, batch_ts=f"2024-02-0{n + 1} 00:00:00")
+    ids = read(spark, table).count()
+    assert {r["value"] for r in read(spark, table).collect()} == {"3"}
+    assert read(spark, hist).groupBy("value").count().orderBy("value").collect() == [("1", ids), ("2", ids)]

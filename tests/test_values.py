@@ -55,8 +55,9 @@ def test_strip_specials_keeps_macrons(spark):
 def test_truncate_cell(spark):
     s253, s254 = "a" * 253, "b" * 254
     emoji = "😀" * 300
-    got = one(spark, V.truncate_cell("v"), [(s253,), (s254,), (emoji,)])
+    got = one(spark, V.truncate_cell("v", 253), [(s253,), (s254,), (emoji,)])
     assert got == [s253, "b" * 253, "😀" * 253]
+    assert one(spark, V.truncate_cell("v"), [(s254,), (emoji,)]) == [s254, emoji]
 
 
 def test_split_position(spark):
@@ -66,8 +67,16 @@ def test_split_position(spark):
     assert got == [("-41.2", "174.7"), (None, None), (None, None), (None, None)]
 
 
-def test_sanitise_name():
+def test_sanitise_name(spark):
     assert V.sanitise_name("main.temp (°C)") == "main_temp___C_"
+    assert one(spark, V.sanitise_name_col("v"), [("Lake Taupō-1",)]) == ["Lake_Taupō_1"]
+
+
+def test_nan_rejected_and_as_of(spark):
+    assert one(spark, V.nan_to_null("x"), [(float("nan"),), (1.5,), (None,)], "x double") == [None, 1.5, None]
+    got = one(spark, V.is_rejected_value("v"), [("1,000",), ("1d",), ("12.5",), ("NA",), ("less_than_1",), (None,)])
+    assert got == [True, True, False, False, False, False]
+    assert one(spark, V.as_of_date("v"), [("2024-03-01",)]) == ["2024-02-29"]
 
 
 def test_tolerant_double(spark):
