@@ -171,4 +171,5 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
 
 
 def op4_decontaminate(spark, sf_dir: str) -> DataFrame:
-    return find_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    found = find_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity")

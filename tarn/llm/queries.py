@@ -9,6 +9,7 @@ from .hnsw import op7_hnsw_search
 from .jaccard import op6_jaccard_join
 from .licenses import op1_license_scan
 from .mixing import op10_pivotal_mix
+from .oracle import OP4_SQL, OP6_SQL, OP9_SQL
 from .substrings import op9_suffix_dedup
 from .tokenfiles import op8_token_files
 from .toxicity import op5_compression_toxicity
@@ -17,11 +18,11 @@ REGISTRY = {
     "op1_license_scan": (op1_license_scan, None),           # bounded-error matching
     "op2_hilbert_shards": (op2_hilbert_shards, None),       # DuckDB has no crc32
     "op3_chat_format": (op3_chat_format, OP3_SQL),
-    "op4_decontaminate": (op4_decontaminate, None),         # fingerprints; brute force in the tests
+    "op4_decontaminate": (op4_decontaminate, OP4_SQL),
     "op5_compression_toxicity": (op5_compression_toxicity, None),   # learned; held-out accuracy in the tests
-    "op6_jaccard_join": (op6_jaccard_join, None),           # components over hashed sets; brute force in the tests
+    "op6_jaccard_join": (op6_jaccard_join, OP6_SQL),
     "op7_hnsw_search": (op7_hnsw_search, None),             # approximate; recall in the tests
     "op8_token_files": (op8_token_files, None),             # a tokenizer
-    "op9_suffix_dedup": (op9_suffix_dedup, None),           # byte strings; brute force in the tests
+    "op9_suffix_dedup": (op9_suffix_dedup, OP9_SQL),
     "op10_pivotal_mix": (op10_pivotal_mix, None),           # random rounding
 }

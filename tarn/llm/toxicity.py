@@ -197,8 +197,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         picked = own if picked is None else picked.unionByName(own)
     # at most SAMPLE_TOXIC + SAMPLE_ORDINARY ids
     rows = (docs.select("doc_id", "text").where(F.octet_length("text") <= SAMPLE_BYTES)
-            .join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "_toxic")
-            .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(SAMPLE_TOXIC + SAMPLE_ORDINARY).collect())
+            .join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("_toxic").alias("_toxic")).collect())     # a row per picked id at most
+    rows.sort(key=lambda r: xxhash.xxh64_intdigest(str(r["doc_id"])))
     texts = {kind: [normal(r["text"].encode()) for r in rows if (r["_toxic"] > 0) == kind] for kind in (True, False)}
     return train(texts[True], texts[False], counts[1] / (counts[0] + counts[1]))
 
