@@ -20,11 +20,16 @@ shingles); an empty segment, which meets every other empty one, gets one
 only if nothing else reaches the sum. Keys of other segments are indexed
 but not probed. Every candidate is verified exactly.
 
-Candidates in two rounds, since only components matter: a key's members
+Candidates come in rounds, since only components matter: a key's members
 are first held against its smallest probing member; after components of
-those links are known, exactly the pairs of one key that still lie in
-different components are verified. Nothing is capped: a group of
-thousands of near copies costs a star, not all pairs.
+those links are known, pairs of one key that still lie in different
+components are looked at: all of them in a key with few members, and in a
+larger one first those that look nearest, until a last round takes all
+that are left. Parity sketches (four bits per shingle) rule out pairs
+exactly, so sets are only brought together for pairs that are nearly
+similar; a key with many members is compared block by block. Nothing is
+capped: a group of thousands of near copies costs a star and the nearest
+pairs of what the star missed, not all pairs.
 
 Nulls: a null or blank text has an empty set and is linked with nothing
 (its component is its own id); a null id is never a component's name
@@ -36,6 +41,7 @@ task, not one per row.
 
 from __future__ import annotations
 
+import heapq
 import math
 from functools import lru_cache
 
@@ -44,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, read_table, splitmix, text_bytes
+from .common import Scratch, read_table, splitmix, text_bytes, text_slices
 from .graph import connected_components
 from .shingles import set_id, shingle_sets
 
@@ -52,6 +58,13 @@ SHINGLE = 4
 PERCENT = 85
 #: Up to so many document ids may be broadcast (8 bytes each, counted first).
 BROADCAST_IDS = 500_000
+#: A key with more members than this is compared block by block.
+BLOCK_ROWS = 4000
+#: Up to so many members of a key, all its pairs are named before their
+#: sketches are brought together; beyond, sketches go to the key.
+SMALL_ROWS = 16
+#: Pairs that a member of a larger key names in each of the first rounds.
+NEAREST = 4
 _ONE = np.uint64(1)
 _SEED = np.uint64(0xD6E8FEB86659FD93)
 
@@ -158,16 +171,17 @@ def _grown(tops: list[int], n: int, percent: int) -> list[int]:
 
 
 def _members(k: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()), ("sketch", pa.binary())])
 
     def run(batches):
-        for batch in batches:
-            sizes, sids = [], []
+        for batch in (part for b in batches for part in text_slices(b, 2)):
+            sizes, sids, sketches = [], [], []
             for own in shingle_sets(*text_bytes(batch.column(2)), k):
                 sizes.append(len(own))
                 sids.append(set_id(own) if len(own) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64())], schema=schema)
-    return run, "doc_id long, rid long, n_shingles long, sid long"
+                sketches.append(sketch(own) if len(own) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()), pa.array(sketches, pa.binary())], schema=schema)
+    return run, "doc_id long, rid long, n_shingles long, sid long, sketch binary"
 
 
 def _keys(k: int, percent: int):
@@ -175,7 +189,7 @@ def _keys(k: int, percent: int):
 
     def run(batches):
         tops, seen = bands(1 << 15, percent), set()
-        for batch in batches:
+        for batch in (part for b in batches for part in text_slices(b, 0)):
             keys, members = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for own in shingle_sets(*text_bytes(batch.column(0)), k):
                 if not len(own) or (sid := set_id(own)) in seen:
@@ -194,33 +208,151 @@ def _sets(k: int):
     schema = pa.schema([("sid", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in text_slices(b, 0)):
             out = [(set_id(own), own.tobytes()) for own in shingle_sets(*text_bytes(batch.column(0)), k) if len(own)]
-            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int64()), pa.array([b for _, b in out], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()), pa.array([b for _, b in out], pa.binary())], schema=schema)
     return run, "sid long, shingles binary"
 
 
-def _verify(percent: int):
+# -- sketches: a cheap exact bound --------------------------------------------
+
+def sketch(own: np.ndarray) -> bytes:
+    """Parity bitmap of a set: every shingle flips the bit that its hash
+    names, of at least four bits per shingle (a power of two). Two bitmaps
+    differ in no more bits than the sets differ in shingles; a longer one
+    is folded onto a shorter one first."""
+    bits = max(64, 1 << (4 * len(own) - 1).bit_length())
+    parity = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(parity, bitorder="little").tobytes()
+
+
+def sketch_distance(x: int, x_bits: int, y: int, y_bits: int) -> int:
+    while x_bits > y_bits:
+        x_bits >>= 1
+        x = (x >> x_bits) ^ (x & ((1 << x_bits) - 1))
+    while y_bits > x_bits:
+        y_bits >>= 1
+        y = (y >> y_bits) ^ (y & ((1 << y_bits) - 1))
+    return (x ^ y).bit_count()
+
+
+def far_apart(x: int, x_bits: int, n: int, y: int, y_bits: int, m: int, percent: int) -> bool:
+    """True only if sets of sizes n and m with these sketches cannot link."""
+    return (100 * min(n, m) < percent * max(n, m)
+            or sketch_distance(x, x_bits, y, y_bits) > hamming(n, m, percent))
+
+
+def _bits(raw: bytes) -> tuple[int, int]:
+    return int.from_bytes(raw, "little"), 8 * len(raw)
+
+
+def _near_pairs(percent: int):
+    """(a, b, n_a, sketch_a, n_b, sketch_b) -> pairs that may link."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    def run(batches):
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("na", "xa", "nb", "xb")))
+            keep = pa.array([not far_apart(*_bits(x), n, *_bits(y), m, percent) for n, x, m, y in rows], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], schema=schema)
+    return run, "a long, b long"
+
+
+def _by_group(batches, key: str, columns: list[str]):
+    """Lists of rows (tuples of ``columns``) of equal ``key``, from batches
+    sorted by it."""
+    group, rows = None, []
+    for batch in batches:
+        for g, *row in zip(*(batch.column(c).to_pylist() for c in (key, *columns))):
+            if g != group:
+                if rows:
+                    yield rows
+                group, rows = g, []
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_PAIRS_DDL = "a long, b long"
+_MORE = (-1, -1)                     # says that a task left pairs for another round
+
+
+def _sent(pairs, size: int = 50_000):
+    """Distinct pairs of a task, as batches."""
+    seen: set = set()
+    for p in pairs:
+        seen.add(p)
+        if len(seen) >= size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*seen)], schema=_PAIRS)
+            seen = set()
+    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*seen)] if seen else [pa.array([], pa.int64())] * 2, schema=_PAIRS)
+
+
+def _small_groups():
+    """Rows (key, sid, probed, root) sorted by key -> all pairs of a key in
+    different components, one of them probing."""
+    def pairs(batches):
+        for rows in _by_group(batches, "key", ["sid", "probed", "root"]):
+            for i, (x, p, r) in enumerate(rows):
+                for y, q, t in rows[:i]:
+                    if r != t and (p or q):
+                        yield (x, y) if x < y else (y, x)
+    return (lambda batches: _sent(pairs(batches))), _PAIRS_DDL
+
+
+def _large_groups(percent: int, nearest: int | None):
+    """Rows (group, side, sid, probed, root, n, sketch) sorted by group ->
+    pairs of a group in different components, one of them probing, that may
+    link: of every member outside the group's largest component its
+    ``nearest`` ones by sketch (None: all). A group is a key's members or
+    two of its blocks (sides 0 and 1), of which pairs across are taken."""
+    def of(rows):
+        rows = [(s, x, p, r, n, *_bits(raw)) for s, x, p, r, n, raw in rows]
+        sizes: dict = {}
+        for row in rows:
+            sizes[row[3]] = sizes.get(row[3], 0) + 1
+        largest, two_sides = max(sizes, key=lambda r: (sizes[r], r)), any(row[0] for row in rows)
+        for s, x, p, r, n, xs, xb in rows:
+            if r == largest:
+                continue
+            near = []
+            for t, y, q, u, m, ys, yb in rows:
+                if u != r and (p or q) and (not two_sides or s != t) and 100 * min(n, m) >= percent * max(n, m):
+                    d = sketch_distance(xs, xb, ys, yb)
+                    if d <= hamming(n, m, percent):
+                        near.append((d, y))
+            if nearest is not None and len(near) > nearest:
+                near = heapq.nsmallest(nearest, near)
+                yield _MORE
+            for _, y in near:
+                yield (x, y) if x < y else (y, x)
+
+    def pairs(batches):
+        for rows in _by_group(batches, "group", ["side", "sid", "probed", "root", "n", "sketch"]):
+            yield from of(rows)
+    return (lambda batches: _sent(pairs(batches))), _PAIRS_DDL
+
+
+def _verify(percent: int):
+    """(a, b, set of a, set of b) -> pairs that link."""
     def run(batches):
         for batch in batches:
             good = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    continue
                 at = np.searchsorted(y, x)
                 both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
                 good[i] = 100 * both >= percent * (len(x) + len(y) - both)
             keep = pa.array(good)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], schema=schema)
-    return run, "a long, b long"
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], schema=_PAIRS)
+    return run, _PAIRS_DDL
 
 
 # -- the join -----------------------------------------------------------------
 
-def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block_rows: int = BLOCK_ROWS,
+                       small_rows: int = SMALL_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     scratch = Scratch(docs.sparkSession, "jaccard")
     # rid: the id, or for a null id a hash of the text
@@ -235,27 +367,25 @@ def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
            .where("low <> high AND hub IS NOT NULL").select("key", "sid", "probed", "hub"))
     met = scratch.save(met, "met")
 
-    reps = members.where("sid IS NOT NULL").groupBy("sid").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("first_id"))
-    sets = scratch.save(_sets_of(rows, reps, met.select("sid").distinct(), k), "sets")
+    reps = scratch.save(members.where("sid IS NOT NULL").groupBy("sid").agg(
+        F.min("rid").alias("rid"), F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "reps")
+    sketches = reps.select("sid", "n", "sketch")
 
     star = met.where("sid <> hub").select(F.least("sid", "hub").alias("a"), F.greatest("sid", "hub").alias("b")).distinct()
-    star = scratch.save(star, "star")
-    links = scratch.save(_verified(star, sets, percent), "links")
+    tested = scratch.save(_near(star, sketches, percent), "star")
+    links = scratch.save(_verified(tested, rows, reps, scratch, "star", k, percent), "links")
     roots = connected_components(links, scratch, "first")
-
-    labelled = (met.select("key", "sid", "probed").join(roots, F.col("sid") == F.col("node"), "left")
-                .select("key", "sid", "probed", F.coalesce("root", "sid").alias("root")))
-    mixed = (labelled.withColumn("low", F.min("root").over(of_key)).withColumn("high", F.max("root").over(of_key))
-             .where("low <> high").drop("low", "high"))
-    mixed = scratch.save(mixed.distinct(), "mixed")
-    other = mixed.select("key", F.col("sid").alias("sid2"), F.col("probed").alias("probed2"), F.col("root").alias("root2"))
-    rest = (mixed.join(other, "key").where("sid < sid2 AND root <> root2 AND probed + probed2 > 0")
-            .select(F.col("sid").alias("a"), F.col("sid2").alias("b")).distinct()
-            .join(star, ["a", "b"], "left_anti"))
-    rest = scratch.save(rest, "rest")
-    more = scratch.save(_verified(rest, sets, percent), "more")
-    if not more.isEmpty():
-        roots = connected_components(links.unionByName(more), scratch, "second")
+    for number, nearest in enumerate((NEAREST, 8 * NEAREST, None)):
+        found = scratch.save(_cross_pairs(met, roots, sketches, percent, nearest, block_rows, small_rows)
+                             .join(tested, ["a", "b"], "left_anti"), f"cross{number}")
+        pairs = found.where("a >= 0")
+        more = scratch.save(_verified(pairs, rows, reps, scratch, f"cross{number}", k, percent), f"more{number}")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            roots = connected_components(links, scratch, f"next{number}")
+        if found.where("a < 0").isEmpty():
+            break
+        tested = tested.unionByName(pairs)
 
     named = reps.select("sid", "first_id").join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid"))
     linked = scratch.save(named.where("node IS NOT NULL").select("sid", "root", "first_id"), "linked")
@@ -266,6 +396,29 @@ def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
             .select("doc_id", "n_shingles", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
+def _cross_pairs(met: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int, nearest: int | None,
+                 block_rows: int, small_rows: int) -> DataFrame:
+    """Pairs of one key in different components that may link."""
+    of_key = Window.partitionBy("key")
+    mixed = (met.select("key", "sid", "probed").join(roots, F.col("sid") == F.col("node"), "left")
+             .groupBy("key", "sid", F.coalesce("root", "sid").alias("root")).agg(F.max("probed").alias("probed"))     # a task's copies
+             .withColumn("low", F.min("root").over(of_key)).withColumn("high", F.max("root").over(of_key))
+             .withColumn("size", F.count(F.lit(1)).over(of_key))
+             .where("low <> high").drop("low", "high"))
+    # few members: pairs first, sketches for the distinct ones
+    small = (mixed.where(F.col("size") <= small_rows).select("key", "sid", "probed", "root")
+             .repartition("key").sortWithinPartitions("key").mapInArrow(*_small_groups()).distinct())
+    # many members: sketches go to the group; a large key is cut into blocks, and each two blocks are a group
+    blocks, mine, other = F.ceil(F.col("size") / block_rows), F.col("mine"), F.col("other")
+    large = (mixed.where(F.col("size") > small_rows)
+             .select("key", "sid", "root", "probed", F.pmod(F.xxhash64("sid"), blocks).alias("mine"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+             .select(F.xxhash64("key", F.least(mine, other), F.greatest(mine, other)).alias("group"),
+                     (mine > other).cast("int").alias("side"), "sid", "probed", "root")
+             .join(sketches, "sid").select("group", "side", "sid", "probed", "root", "n", "sketch")
+             .repartition("group").sortWithinPartitions("group").mapInArrow(*_large_groups(percent, nearest)).distinct())
+    return _near(small, sketches, percent).unionByName(large).distinct()
+
+
 def _sets_of(rows: DataFrame, reps: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(sid, shingles) of the wanted sets, from their first documents' texts."""
     rids = reps.join(wanted, "sid", "left_semi").select(F.col("rid").alias("_rid")).distinct()
@@ -275,7 +428,17 @@ def _sets_of(rows: DataFrame, reps: DataFrame, wanted: DataFrame, k: int) -> Dat
     return texts.mapInArrow(*_sets(k)).dropDuplicates(["sid"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their sketches do not rule out."""
+    both = (pairs.join(sketches.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("xa")), "a")
+            .join(sketches.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("xb")), "b"))
+    return both.mapInArrow(*_near_pairs(percent))
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, reps: DataFrame, scratch: Scratch, label: str, k: int, percent: int) -> DataFrame:
+    """The pairs that link, by their whole sets."""
+    wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+    sets = scratch.save(_sets_of(rows, reps.select("sid", "rid"), wanted, k), f"sets-{label}")
     both = (pairs.join(sets.select(F.col("sid").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("sid").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y"))
     return both.mapInArrow(*_verify(percent))

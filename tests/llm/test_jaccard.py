@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from tarn.llm.jaccard import _schemes, bands, drop_near_copies, hamming, op6_jaccard_join, plan, set_keys, similar_components
+from tarn.llm.jaccard import _bits, _schemes, bands, drop_near_copies, far_apart, hamming, op6_jaccard_join, plan, set_keys, similar_components, sketch
 
 SF = "/root/testdata/sf0.001"
 
@@ -68,6 +68,19 @@ def test_mutated_families_and_a_large_group(spark, make_docs):
     assert sorted(map(tuple, similar_components(make_docs(rows, extra=True)).collect())) == brute(rows)
 
 
+def test_keys_compared_block_by_block(spark, make_docs):
+    rng, rows = random.Random(3), []
+    for g in range(3):                              # chains of sets that link to some others only
+        base = [f"g{g}w{i}" for i in range(60)]
+        for i in range(40):
+            own = list(base)
+            for j in range(i % 12):
+                own[(j * 5 + i) % 60] = f"e{g}{j}{i // 12}"
+            rows.append((g * 100 + i, " ".join(own)))
+    rng.shuffle(rows)
+    assert sorted(map(tuple, similar_components(make_docs(rows), block_rows=5, small_rows=3).collect())) == brute(rows)
+
+
 def test_edge_rows(spark, make_docs):
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, "one"), (5, "ONE"), (6, "two words"), (7, "a " * 30000), (7, "a " * 30000), (None, "one"), (8, " ".join(map(str, range(20000))))]
     got = sorted(map(tuple, similar_components(make_docs(rows)).collect()), key=str)
@@ -102,3 +115,15 @@ def test_plan_reaches_the_distance():
     for top in bands(30_000):
         m, d = plan(top)
         assert m + d >= hamming(top, top * 100 // 85) + 1
+
+
+def test_sketches_rule_out_no_linked_pair():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        n, extra = int(rng.integers(1, 400)), int(rng.integers(0, 60))
+        a = np.unique(rng.integers(1, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[int(rng.integers(0, max(1, n // 6))):], rng.integers(1, 1 << 63, extra, dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        linked = len(b) and 100 * both >= 85 * (len(a) + len(b) - both)
+        if linked:
+            assert not far_apart(*_bits(sketch(a)), len(a), *_bits(sketch(b)), len(b), 85)
