@@ -19,7 +19,8 @@ def test_held_out_accuracy(spark):
     held = [d for d in bad if out[d]["held_out"] and d in english]
     ranked = [(out[d]["score"], bad[d]) for d in held]
     pairs = [(a > b) + 0.5 * (a == b) for a, x in ranked if x for b, y in ranked if not y]
-    assert sum(pairs) / len(pairs) > 0.95
+    assert sum(pairs) / len(pairs) > 0.9          # about one toxic label in fifteen is on a text without any mark
+    assert sum(out[d]["predicted"] for d in held if bad[d]) >= 0.8 * sum(bad[d] for d in held)
     assert sum(out[d]["predicted"] for d in held if not bad[d]) <= 0.02 * len(held)
 
 
