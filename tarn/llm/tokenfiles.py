@@ -165,11 +165,13 @@ def encoder(path: str) -> PieceEncoder:
 def train_dictionary(docs: DataFrame, tokenizer_path: str) -> bytes:
     """Dictionary from a bounded sample; empty where the sample is too
     small to train one (frames are then compressed without)."""
-    rows = (docs.where(F.octet_length("text") <= SAMPLE_DOC_BYTES).select("doc_id", "text")
-            .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(SAMPLE_DOCS).collect())
+    short = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") <= SAMPLE_DOC_BYTES))
+    # ids first: a task's share of an ordered limit goes to the driver
+    ids = short.select(F.col("doc_id").alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCS)
+    rows = (short.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).groupBy("doc_id").agg(F.min("text").alias("text")).collect())
     enc = encoder(tokenizer_path)
     dtype = "<u2" if enc.width == 2 else "<u4"
-    samples = [s for r in rows if (s := enc.encode(r["text"]).astype(dtype).tobytes())]
+    samples = [s for r in sorted(rows) if (s := enc.encode(r["text"]).astype(dtype).tobytes())]
     if sum(map(len, samples)) < 8 * DICT_BYTES or len(samples) < 32:
         return b""
     return zstandard.train_dictionary(DICT_BYTES, samples, k=512, d=8).as_bytes()
