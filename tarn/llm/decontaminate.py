@@ -100,25 +100,30 @@ def _weighted(item_shingles: DataFrame) -> DataFrame:
 
 
 def _anchored(docs: DataFrame, known: DataFrame, ks: list[int], scratch: Scratch, literals: int) -> DataFrame:
-    """Documents with a benchmark shingle: (doc_id, words, anchors)."""
-    rows = docs.select("doc_id", F.col("text").alias("text"))
+    """Documents with a benchmark shingle: (doc_id, text_key, words, anchors,
+    row). A row is known by its id and its text: ids may be null or repeat."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").alias("text"), F.xxhash64("doc_id", "text").alias("row"))
     if known.limit(literals + 1).count() <= literals:
         values = [r[0] for r in known.select("shingle").distinct().collect()]
         found = _bound(words_of(F.col("text")), lambda words: F.struct(words.alias("words"), F.concat(*[
             F.filter(F.transform(_shingles(words, k), lambda h, i: F.struct(i.alias("at"), h.alias("shingle"))), lambda s: s["shingle"].isin(values)) for k in ks]).alias("anchors")))
-        hits = rows.select("doc_id", found.alias("f")).select("doc_id", "f.words", "f.anchors").where(F.size("anchors") > 0)
+        hits = rows.select("doc_id", "text_key", "row", found.alias("f")).select("doc_id", "text_key", "row", "f.words", "f.anchors").where(F.size("anchors") > 0)
     else:
-        marked = rows.withColumn("row", F.xxhash64("doc_id", "text"))
-        each = marked.select("row", _bound(words_of(F.col("text")), lambda words: F.concat(*[
+        each = rows.select("row", _bound(words_of(F.col("text")), lambda words: F.concat(*[
             F.transform(_shingles(words, k), lambda h, i: F.struct(i.alias("at"), h.alias("shingle"))) for k in ks])).alias("s")).select("row", F.explode("s").alias("s"))
         anchors = (each.select("row", "s.at", "s.shingle").join(known.select("shingle").distinct(), "shingle", "left_semi")
                    .groupBy(F.col("row").alias("_row")).agg(F.collect_set(F.struct("at", "shingle")).alias("anchors")))
-        hits = marked.join(anchors, F.col("row") == F.col("_row")).select("doc_id", words_of(F.col("text")).alias("words"), "anchors")
-    return scratch.save(hits.withColumn("row", F.xxhash64("doc_id", "words")), "anchored")
+        hits = rows.join(anchors, F.col("row") == F.col("_row")).select("doc_id", "text_key", "row", words_of(F.col("text")).alias("words"), "anchors")
+    return scratch.save(hits, "anchored")
 
 
 def find_passages(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOLD, literals: int = LITERALS) -> DataFrame:
     """(doc_id, item_id, similarity, start_word, n_words, distance)."""
+    return _passages(docs, bench, ["doc_id"], threshold, literals)
+
+
+def _passages(docs: DataFrame, bench: DataFrame, by: list[str], threshold: float = THRESHOLD, literals: int = LITERALS) -> DataFrame:
+    """Best window of each item and each ``by`` (of doc_id, text_key)."""
     scratch = Scratch(docs.sparkSession, "passages")
     items = scratch.save(benchmark_items(bench), "items")
     shingles = scratch.save(_item_shingles(items), "shingles")
@@ -133,8 +138,8 @@ def find_passages(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOL
                       F.greatest(F.lit(0), F.least(F.col("at") - F.col("back"), F.col("len") - F.col("n_words"))).alias("start"))
               .groupBy(F.col("row").alias("_row")).agg(F.collect_set(F.struct("start", "n_words")).alias("places")))
     windows = (hits.dropDuplicates(["row"]).join(places, F.col("row") == F.col("_row"))
-               .select("doc_id", "words", F.explode("places").alias("p"))
-               .select("doc_id", "p.start", "p.n_words", F.array_join(F.slice("words", F.col("p.start") + 1, F.col("p.n_words")), " ").alias("window")))
+               .select("doc_id", "text_key", "words", F.explode("places").alias("p"))
+               .select("doc_id", "text_key", "p.start", "p.n_words", F.array_join(F.slice("words", F.col("p.start") + 1, F.col("p.n_words")), " ").alias("window")))
     windows = scratch.save(windows, "windows")
 
     # fingerprints and Hamming blocks, once per window text
@@ -160,14 +165,16 @@ def find_passages(docs: DataFrame, bench: DataFrame, threshold: float = THRESHOL
             .select(F.col("window").alias("_window"), "item_id", "similarity", "distance").distinct())
     best = F.max_by(F.struct("similarity", "start", "n_words", "distance"), F.struct("similarity", -F.col("start"), -F.col("n_words")))
     return (windows.join(good, F.col("window") == F.col("_window"))
-            .groupBy("doc_id", "item_id").agg(best.alias("best"))
-            .select("doc_id", "item_id", "best.similarity", F.col("best.start").alias("start_word"), "best.n_words", "best.distance"))
+            .groupBy(*by, "item_id").agg(best.alias("best"))
+            .select(*by, "item_id", "best.similarity", F.col("best.start").alias("start_word"), "best.n_words", "best.distance"))
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """Documents without a benchmark passage."""
-    found = Scratch(docs.sparkSession, "contaminated").save(find_passages(docs, bench).select(F.col("doc_id").alias("_gone")).distinct(), "ids")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """Documents without a benchmark passage. A row goes for its own text,
+    never for that of another row with its id (or, as it, without one)."""
+    found = _passages(docs, bench, ["doc_id", "text_key"]).select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_key")).distinct()
+    found = Scratch(docs.sparkSession, "contaminated").save(found, "rows")
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("_key")), "left_anti")
 
 
 def op4_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -171,17 +171,17 @@ def _grown(tops: list[int], n: int, percent: int) -> list[int]:
 
 
 def _members(k: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()), ("sketch", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()), ("sketch", pa.binary())])
 
     def run(batches):
-        for batch in (part for b in batches for part in text_slices(b, 2)):
+        for batch in (part for b in batches for part in text_slices(b, 3)):
             sizes, sids, sketches = [], [], []
-            for own in shingle_sets(*text_bytes(batch.column(2)), k):
+            for own in shingle_sets(*text_bytes(batch.column(3)), k):
                 sizes.append(len(own))
                 sids.append(set_id(own) if len(own) else None)
                 sketches.append(sketch(own) if len(own) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()), pa.array(sketches, pa.binary())], schema=schema)
-    return run, "doc_id long, rid long, n_shingles long, sid long, sketch binary"
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()), pa.array(sketches, pa.binary())], schema=schema)
+    return run, "doc_id long, rid long, text_key long, n_shingles long, sid long, sketch binary"
 
 
 def _keys(k: int, percent: int):
@@ -354,10 +354,19 @@ def _verify(percent: int):
 def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, block_rows: int = BLOCK_ROWS,
                        small_rows: int = SMALL_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
+    return _components(docs, k, percent, block_rows, small_rows).select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, k: int, percent: int, block_rows: int = BLOCK_ROWS, small_rows: int = SMALL_ROWS) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component_id, root) of every document:
+    ``text_key`` is a hash of its text, which tells rows of one id (or of
+    none) apart; ``root`` is the component itself, null without words. Two
+    components may have one name, where an id repeats."""
     scratch = Scratch(docs.sparkSession, "jaccard")
     # rid: the id, or for a null id a hash of the text
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("rid"), F.col("text").alias("text"))
+                       F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("rid"),
+                       F.xxhash64("text").alias("text_key"), F.col("text").alias("text"))
     members = scratch.save(rows.mapInArrow(*_members(k)), "members")
 
     indexed = rows.select("text").mapInArrow(*_keys(k, percent)).select("key", F.shiftright("member", 1).alias("sid"), F.col("member").bitwiseAND(F.lit(1).cast("long")).alias("probed"))
@@ -390,10 +399,10 @@ def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     named = reps.select("sid", "first_id").join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid"))
     linked = scratch.save(named.where("node IS NOT NULL").select("sid", "root", "first_id"), "linked")
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_set = (named.where("node IS NULL").select("sid", F.col("first_id").alias("component_id"))
-              .unionByName(linked.join(least, "root").select("sid", "component_id")))
+    by_set = (named.where("node IS NULL").select("sid", "root", F.col("first_id").alias("component_id"))
+              .unionByName(linked.join(least, "root").select("sid", "root", "component_id")))
     return (members.join(by_set.withColumnRenamed("sid", "_sid"), F.col("sid") == F.col("_sid"), "left")
-            .select("doc_id", "n_shingles", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+            .select("doc_id", "text_key", "n_shingles", "root", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
 def _cross_pairs(met: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int, nearest: int | None,
@@ -446,14 +455,23 @@ def _verified(pairs: DataFrame, rows: DataFrame, reps: DataFrame, scratch: Scrat
 
 def drop_near_copies(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One document of each component stays, the one with the smallest id
-    (of its repeated rows, one); documents without words all stay."""
+    (null ids last; of rows with that id, the smallest hash of the text; of
+    its repeated rows, one); documents without words all stay. Rows are
+    known by id and text, so ids may be null or repeat with other texts."""
     scratch = Scratch(docs.sparkSession, "near-copies")
-    ids = scratch.save(similar_components(docs, k, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))), "kept")
-    kept = docs.join(ids.select(F.col("doc_id").alias("_kept")).distinct(), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    if ids.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").isEmpty():
+    rows = _components(docs, k, percent).groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    rows = scratch.save(rows, "rows")
+    # one row per component; without a root: a text without words
+    first = (rows.where("root IS NOT NULL").groupBy("root")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "n")).alias("first")).select("first.*"))
+    first = scratch.save(first.select("doc_id", "text_key", "n"), "first")
+    ids = first.select("doc_id", "text_key").unionByName(rows.where("root IS NULL").select("doc_id", "text_key"))
+    kept = docs.join(ids.select(F.col("doc_id").alias("_kept"), F.col("text_key").alias("_key")),
+                     F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.xxhash64("text") == F.col("_key")), "left_semi")
+    if first.where("n > 1").isEmpty():
         return kept
-    empty = F.coalesce(F.trim("text"), F.lit("")) == ""
-    return kept.where(~empty).dropDuplicates(["doc_id", "text"]).unionByName(kept.where(empty))
+    worded = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    return kept.where(worded).dropDuplicates(["doc_id", "text"]).unionByName(kept.where(~worded))
 
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -93,3 +93,12 @@ def test_blocks_meet_within_the_radius(spark):
         assert min(per[b] for b in range(8)) <= 1
     row = spark.createDataFrame([(["a", "b", "c"],)], "w array<string>").select(simhash(F.col("w")).alias("fp")).select("fp", _blocks(F.col("fp")).alias("b")).first()
     assert sum(b["value"] << (8 * b["block"]) for b in row["b"]) == row["fp"] % (1 << 64)
+
+
+def test_rows_of_null_and_repeated_ids_go_by_their_own_text(spark, make_docs):
+    item = " ".join(f"q{i}" for i in range(30))
+    clean = [f"clean text number {i} stays here" for i in range(4)]
+    rows = [(None, "so " + item), (None, clean[0]), (None, clean[1]), (None, None), (7, clean[2]), (7, item + " end"), (7, item + ", end!"), (8, clean[3])]
+    bench = spark.createDataFrame([(1, item, "x")], BENCH)
+    left = [(r["doc_id"], r["text"]) for r in drop_contaminated(make_docs(rows, extra=True), bench).collect()]
+    assert sorted(left, key=str) == sorted([(None, clean[0]), (None, clean[1]), (None, None), (7, clean[2]), (8, clean[3])], key=str)

@@ -127,3 +127,16 @@ def test_sketches_rule_out_no_linked_pair():
         linked = len(b) and 100 * both >= 85 * (len(a) + len(b) - both)
         if linked:
             assert not far_apart(*_bits(sketch(a)), len(a), *_bits(sketch(b)), len(b), 85)
+
+
+def test_rows_of_null_and_repeated_ids_are_told_apart(spark, make_docs):
+    text = [" ".join(f"{g}x{i}" for i in range(60)) for g in "abcdef"]
+    near = [t + " tail" for t in text]
+    rows = [(None, text[0]), (None, near[0]), (None, text[1]), (1, near[1]),      # no id: copies of each other, a copy of document 1
+            (2, text[2]), (2, text[3]), (2, text[3]), (3, near[2]), (0, near[3]),   # one id in two components, in one of them not the first
+            (4, text[4]), (4, near[4]), (None, text[5]), (5, " \n"), (5, " \n"), (None, ""), (None, "")]
+    kept = [(r["doc_id"], r["text"]) for r in drop_near_copies(make_docs(rows, extra=True)).collect()]
+    of = lambda g: [(d, t) for d, t in kept if t in (text[g], near[g])]
+    assert of(1) == [(1, near[1])] and of(2) == [(2, text[2])] and of(3) == [(0, near[3])] and of(5) == [(None, text[5])]
+    assert len(of(0)) == 1 and [d for d, _ in of(4)] == [4]
+    assert sorted((r for r in kept if not r[1].strip()), key=str) == sorted([(5, " \n")] * 2 + [(None, "")] * 2, key=str) and len(kept) == 10
