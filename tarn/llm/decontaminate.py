@@ -13,7 +13,14 @@ Finds documents that hold a passage of a benchmark item.
    blocks; items are indexed with every value that differs in at most one
    bit from theirs. Two fingerprints within ``RADIUS`` = 2 x BLOCKS - 1
    agree in some block up to one bit, so all pairs within the radius meet.
-4. Candidates are verified exactly: the weight of the item's shingles
+4. Weights. Fingerprints count words alike, while the similarity weighs
+   shingles; items of one template can be similar to a window far away by
+   SimHash. So a document is also brought together with every item of which
+   it has a shingle besides the commonest ones, that together weigh less
+   than the threshold asks for: no similar window is without one. Where
+   all its shingles of the item weigh enough, every window that the item
+   asks for is a candidate, whatever its distance. This loses nothing.
+5. Candidates are verified exactly: the weight of the item's shingles
    (five words, or the whole item where it is shorter) found in the
    window, over the item's weight, must be ``THRESHOLD`` or more. A shingle
    weighs its count in the item over the number of items that have it.
@@ -41,6 +48,8 @@ RADIUS = 2 * BLOCKS - 1
 #: Up to so many benchmark shingles are tested inside the scan, as a
 #: literal set; a larger benchmark is joined.
 LITERALS = 50_000
+#: What sums of weights may be off by (similarities are rounded to 9 places).
+SLACK = 1e-6
 
 
 def words_of(text: Column) -> Column:
@@ -99,11 +108,46 @@ def _weighted(item_shingles: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("shingle", "n", "w"))).alias("entries"), F.sum(F.col("n") * F.col("w")).alias("weight"))
 
 
-def _anchored(docs: DataFrame, known: DataFrame, ks: list[int], scratch: Scratch, literals: int) -> DataFrame:
+def _needed(weighted: DataFrame, threshold: float) -> DataFrame:
+    """(item_id, shingle): of every item the shingles of which a similar
+    window has at least one. The others, the lightest, weigh less than
+    ``threshold`` of the item together."""
+    # lightest first; ``before``: weight up to and with each
+    order = F.transform("entries", lambda e: F.struct(e["w"].alias("w"), e["n"].alias("n"), e["shingle"].alias("shingle")))
+    running = F.aggregate(
+        F.sort_array(order), F.struct(F.lit(0.0).alias("upto"), F.array().cast("array<bigint>").alias("needed")),
+        lambda acc, e: F.struct(
+            (acc["upto"] + e["w"] * e["n"]).alias("upto"),
+            F.when(acc["upto"] + e["w"] * e["n"] < F.lit(threshold - SLACK) * F.col("weight"), acc["needed"])
+            .otherwise(F.concat(acc["needed"], F.array(e["shingle"]))).alias("needed")))
+    return weighted.select("_item", F.explode(running["needed"]).alias("shingle"))
+
+
+def _laid_by_weight(hits: DataFrame, shingles: DataFrame, weighted: DataFrame, threshold: float, small: bool) -> DataFrame:
+    """(row, start, n_words, item_id): the windows that an item asks for in
+    the documents whose shingles weigh enough for it."""
+    bound = F.broadcast if small else (lambda df: df)
+    rows = hits.dropDuplicates(["row"]).select("row", F.size("words").alias("len"), "anchors")
+    met = (rows.select("row", F.explode("anchors.shingle").alias("shingle"))
+           .join(bound(_needed(weighted, threshold)), "shingle").select(F.col("row").alias("_row"), "_item").distinct())
+    asked = (shingles.groupBy(F.col("item_id").alias("_asked")).agg(F.collect_set(F.struct("shingle", "n", "at")).alias("asked")))
+    items = weighted.join(asked, F.col("_item").eqNullSafe(F.col("_asked"))).select(F.col("_item").alias("item_id"), "entries", "weight", "asked")
+    pairs = met.join(bound(items), F.col("_item").eqNullSafe(F.col("item_id"))).join(rows, F.col("_row") == F.col("row"))
+    has = F.aggregate("entries", F.lit(0.0), lambda acc, e: acc + e["w"] * F.least(
+        e["n"].cast("long"), F.size(F.filter("anchors", lambda a: a["shingle"] == e["shingle"])).cast("long")))
+    places = F.array_distinct(F.flatten(F.transform("anchors", lambda a: F.transform(
+        F.filter("asked", lambda s: s["shingle"] == a["shingle"]),
+        lambda s: F.struct(F.greatest(F.lit(0), F.least(a["at"] - s["at"], F.col("len") - F.least(s["n"], F.col("len")))).alias("start"),
+                           F.least(s["n"], F.col("len")).alias("n_words"))))))
+    return (pairs.where(has >= F.lit(threshold - SLACK) * F.col("weight"))
+            .select("row", "item_id", F.explode(places).alias("p")).select("row", "p.start", "p.n_words", "item_id"))
+
+
+def _anchored(docs: DataFrame, known: DataFrame, ks: list[int], scratch: Scratch, literals: bool) -> DataFrame:
     """Documents with a benchmark shingle: (doc_id, text_key, words, anchors,
     row). A row is known by its id and its text: ids may be null or repeat."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").alias("text"), F.xxhash64("doc_id", "text").alias("row"))
-    if known.limit(literals + 1).count() <= literals:
+    if literals:
         values = [r[0] for r in known.select("shingle").distinct().collect()]
         found = _bound(words_of(F.col("text")), lambda words: F.struct(words.alias("words"), F.concat(*[
             F.filter(F.transform(_shingles(words, k), lambda h, i: F.struct(i.alias("at"), h.alias("shingle"))), lambda s: s["shingle"].isin(values)) for k in ks]).alias("anchors")))
@@ -128,7 +172,8 @@ def _passages(docs: DataFrame, bench: DataFrame, by: list[str], threshold: float
     items = scratch.save(benchmark_items(bench), "items")
     shingles = scratch.save(_item_shingles(items), "shingles")
     ks = sorted(r[0] for r in items.select("k").distinct().collect()) or [SHINGLE]
-    hits = _anchored(docs, shingles, ks, scratch, literals)
+    small = shingles.limit(literals + 1).count() <= literals
+    hits = _anchored(docs, shingles, ks, scratch, small)
 
     # where windows are laid: an item with the anchor at place ``at`` starts that much earlier
     laid = shingles.select("shingle", F.col("at").alias("back"), F.col("n").alias("n_words")).distinct()
@@ -138,8 +183,8 @@ def _passages(docs: DataFrame, bench: DataFrame, by: list[str], threshold: float
                       F.greatest(F.lit(0), F.least(F.col("at") - F.col("back"), F.col("len") - F.col("n_words"))).alias("start"))
               .groupBy(F.col("row").alias("_row")).agg(F.collect_set(F.struct("start", "n_words")).alias("places")))
     windows = (hits.dropDuplicates(["row"]).join(places, F.col("row") == F.col("_row"))
-               .select("doc_id", "text_key", "words", F.explode("places").alias("p"))
-               .select("doc_id", "text_key", "p.start", "p.n_words", F.array_join(F.slice("words", F.col("p.start") + 1, F.col("p.n_words")), " ").alias("window")))
+               .select("doc_id", "text_key", "row", "words", F.explode("places").alias("p"))
+               .select("doc_id", "text_key", "row", "p.start", "p.n_words", F.array_join(F.slice("words", F.col("p.start") + 1, F.col("p.n_words")), " ").alias("window")))
     windows = scratch.save(windows, "windows")
 
     # fingerprints and Hamming blocks, once per window text
@@ -153,8 +198,15 @@ def _passages(docs: DataFrame, bench: DataFrame, by: list[str], threshold: float
                   .join(index, ["block", "value"]).withColumn("distance", distance).where(F.col("distance") <= RADIUS)
                   .select("window", "item_id", "distance").distinct())
 
+    # windows of items that weigh enough in a document, at any distance
+    weighted = scratch.save(_weighted(shingles), "weighted")
+    asked = _laid_by_weight(hits, shingles, weighted, threshold, small).join(windows, ["row", "start", "n_words"]).select("window", "item_id").distinct()
+    fps = items.select(F.col("item_id").alias("_own"), F.col("fp").alias("item_fp"))
+    candidates = candidates.unionByName(
+        asked.join(prints, "window").join(F.broadcast(fps) if small else fps, F.col("item_id").eqNullSafe(F.col("_own")))
+        .select("window", "item_id", distance.alias("distance"))).distinct()
+
     # exact similarity of the candidates
-    weighted = _weighted(shingles)
     sizes = items.select(F.col("item_id").alias("_i"), F.col("k"))
     pairs = (candidates.join(weighted, F.col("item_id").eqNullSafe(F.col("_item"))).join(sizes, F.col("item_id").eqNullSafe(F.col("_i"))))
     words = F.split("window", " ")

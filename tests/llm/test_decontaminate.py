@@ -102,3 +102,17 @@ def test_rows_of_null_and_repeated_ids_go_by_their_own_text(spark, make_docs):
     bench = spark.createDataFrame([(1, item, "x")], BENCH)
     left = [(r["doc_id"], r["text"]) for r in drop_contaminated(make_docs(rows, extra=True), bench).collect()]
     assert sorted(left, key=str) == sorted([(None, clean[0]), (None, clean[1]), (None, None), (7, clean[2]), (8, clean[3])], key=str)
+
+
+@pytest.mark.parametrize("literals", [50_000, 0])
+def test_items_of_one_template_are_found_without_it(spark, make_docs, literals):
+    rng = random.Random(11)
+    words = lambda n: [f"t{rng.randrange(100_000)}" for _ in range(n)]
+    template, own = words(20), [words(30) for _ in range(60)]
+    items = [(i, " ".join(template + w)) for i, w in enumerate(own)]
+    rows = [(i, " ".join(words(40) + w + words(10))) for i, w in enumerate(own[:30])] + [(100, " ".join(template + words(40)))]
+    bench = spark.createDataFrame([(i, t, "x") for i, t in items], BENCH)
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["distance"]) for r in find_passages(make_docs(rows), bench, literals=literals).collect()}
+    want = brute(rows, items)
+    assert {k for k in want} == {(i, i) for i in range(30)} and {k: s for k, (s, _) in got.items()} == pytest.approx(want)
+    assert any(d > RADIUS for _, d in got.values())
