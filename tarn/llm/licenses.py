@@ -81,6 +81,18 @@ def _places(text: bytes, what: bytes):
         at = text.find(what, at + 1)
 
 
+def _matches(pattern, text: bytes, lo: int, hi: int, least: int):
+    """The best match of a stretch, then those of what lies before and
+    behind it; none is shorter than ``least``."""
+    open_parts = [(lo, hi)]
+    while open_parts:
+        lo, hi = open_parts.pop()
+        if hi - lo >= least and (m := pattern.search(text, lo, hi)):
+            yield m
+            # a match ends a word: what lies before ends at the space
+            open_parts += [(lo, m.start() - 1), (max(m.end(), lo + 1), hi)]
+
+
 class Scanner:
     """Searches a run of normalised documents, each between line feeds."""
 
@@ -117,7 +129,7 @@ class Scanner:
                 else:
                     stretches.append([lo, hi])
             for lo, hi in stretches:
-                for m in pattern.finditer(text, lo, hi):
+                for m in _matches(pattern, text, lo, hi, size - e):
                     yield m.start(), m.end(), sum(m.fuzzy_counts), notice.label
 
 

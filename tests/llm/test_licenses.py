@@ -59,3 +59,20 @@ def test_seeds_meet_every_match():
             i = rng.randrange(len(t))
             rng.choice([lambda: t.__setitem__(i, "x"), lambda: t.insert(i, "x"), lambda: t.pop(i)])()
         assert any(s in "".join(t).encode() for _, s in seeds(phrase, 2))
+
+
+def test_a_better_match_behind_hides_no_earlier_one():
+    from tarn.llm.licenses import Scanner
+
+    def found(text, label):
+        raw = f"\n{text}\n".encode()
+        return sorted((raw[a:b].decode(), e) for a, b, e, x in Scanner().fuzzy(raw, [1]) if x == label)
+    assert found("all right reserved all rights reserved", "proprietary") == [("all right reserved", 1), ("all rights reserved", 0)]
+    assert found("mit licence mit license mit licens", "mit") == [("mit licence", 1), ("mit licens", 1), ("mit license", 0)]
+    assert found("all rights reserve all rights reserved all right reserved all rights reserved all rigths all rights reservd", "proprietary") == [
+        ("all right reserved", 1), ("all rights reservd", 1), ("all rights reserve", 1), ("all rights reserved", 0), ("all rights reserved", 0)]
+
+
+def test_spans_of_repeated_notices(spark, make_docs):
+    row = scan_licenses(make_docs([(1, "All right reserved. All rights reserved.")])).first()
+    assert [(s["first_word"], s["n_words"], s["errors"]) for s in row["spans"]] == [(0, 3, 1), (3, 3, 0)]
