@@ -11,10 +11,12 @@ calibrated on labelled documents that the dictionaries have not seen.
 
 Learning uses a bounded sample of labelled rows whose crc32(doc_id as
 text) mod 5 is not 0: at most ``SAMPLE_TOXIC`` toxic and
-``SAMPLE_ORDINARY`` other documents of at most ``SAMPLE_BYTES`` bytes, those
-with the smallest id hashes, near copies among them reduced to one. Every
-document is scored, over its whole text; labels, language, source and id
-are no inputs of a score.
+``SAMPLE_ORDINARY`` other labelled documents that have a text, those with
+the smallest id hashes, near copies among them reduced to one. A document
+takes part whole up to ``SAMPLE_BYTES`` bytes; a longer one with
+``PIECES`` pieces of ``PIECE`` bytes, dealt evenly from its start to its
+end. Every document is scored, over its whole text; labels, language,
+source and id are no inputs of a score.
 
 Nulls: a null or empty text scores as one without any saving; labels with
 a null id or null toxic are ignored, of contradicting labels the toxic one
@@ -41,6 +43,8 @@ FOLDS = 5
 SAMPLE_TOXIC = 2500
 SAMPLE_ORDINARY = 4000
 SAMPLE_BYTES = 16 << 10
+PIECE = 256
+PIECES = SAMPLE_BYTES // PIECE
 WINDOW = 128
 OVERLAP = 16
 GRAM = 6
@@ -184,6 +188,15 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(True))
 
 
+def sampled(text: F.Column) -> F.Column:
+    """The bytes of a text that training sees."""
+    raw, size = text.cast("binary"), F.octet_length(text)
+    pieces = F.aggregate(
+        F.sequence(F.lit(0), F.lit(PIECES - 1)), F.lit(b""),
+        lambda acc, i: F.concat(acc, F.substring(raw, (F.floor(i.cast("long") * (size - PIECE) / (PIECES - 1)) + 1).cast("int"), F.lit(PIECE)), F.lit(b" ")))
+    return F.when(size <= SAMPLE_BYTES, raw).otherwise(pieces)
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     usable = (labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic"))
               .where(F.col("_id").isNotNull() & F.col("_toxic").isNotNull() & ~held_out(F.col("_id")))
@@ -191,16 +204,18 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     counts = {r["_toxic"]: r["n"] for r in usable.groupBy((F.col("_toxic") > 0).cast("int").alias("_toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts.get(0) or not counts.get(1):
         return Model()
+    # only documents that are there, of any length, take places of the sample
+    usable = usable.join(docs.where(F.col("text").isNotNull()).select("doc_id"), F.col("_id") == F.col("doc_id"), "left_semi")
     picked = None
     for toxic, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY)):
         own = usable.where((F.col("_toxic") > 0) == bool(toxic)).orderBy(F.xxhash64("_id"), "_id").limit(most)
         picked = own if picked is None else picked.unionByName(own)
     # at most SAMPLE_TOXIC + SAMPLE_ORDINARY ids
-    rows = (docs.select("doc_id", "text").where(F.octet_length("text") <= SAMPLE_BYTES)
+    rows = (docs.where(F.col("text").isNotNull()).select("doc_id", sampled(F.col("text")).alias("text"))
             .join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
             .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("_toxic").alias("_toxic")).collect())     # a row per picked id at most
     rows.sort(key=lambda r: xxhash.xxh64_intdigest(str(r["doc_id"])))
-    texts = {kind: [normal(r["text"].encode()) for r in rows if (r["_toxic"] > 0) == kind] for kind in (True, False)}
+    texts = {kind: [normal(bytes(r["text"])) for r in rows if (r["_toxic"] > 0) == kind] for kind in (True, False)}
     return train(texts[True], texts[False], counts[1] / (counts[0] + counts[1]))
 
 

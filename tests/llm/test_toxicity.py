@@ -71,3 +71,27 @@ def test_scores_do_not_depend_on_fold_or_id():
     m = train([normal(t.encode()) for i, t in rows if i % 5 == 0], [normal(t.encode()) for i, t in rows if i % 5], 0.2)
     s = Scorer(m)
     assert s.score(b"vilegrot snarkbane") == s.score(b"vilegrot snarkbane") > 0.5 > s.score(b"")
+
+
+def test_learns_from_long_documents(spark, make_docs):
+    rows, labels = corpus()
+    long = [(i, f"{t} " * 60) for i, t in rows]                      # all beyond the sample's bytes
+    assert min(len(t) for _, t in long) > 16 << 10
+    model = learn(make_docs(long), spark.createDataFrame(labels, LABELS))
+    assert model != Model()
+    by = {r["doc_id"]: r["predicted"] for r in score_documents(make_docs(long), model).collect()}
+    assert sum(by[i] == int(i % 5 == 0) for i in range(600)) >= 590
+    short = [*rows, *((i, "é" * 9000) for i in range(600, 4000))]    # labels without a document take no place
+    marks = spark.createDataFrame(labels + [(i, 0, i % 2) for i in range(10_000, 60_000)], LABELS)
+    assert learn(make_docs(rows), marks) != Model() and learn(make_docs(short), marks) != Model()
+
+
+def test_a_long_text_takes_part_in_pieces(spark):
+    from pyspark.sql import functions as F
+
+    from tarn.llm.toxicity import PIECE, PIECES, sampled
+    texts = ["", "short", "x" * (16 << 10), "".join(chr(97 + i % 26) for i in range(100_000))]
+    got = [bytes(r[0]) for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(sampled(F.col("t"))).collect()]
+    assert got[:3] == [t.encode() for t in texts[:3]]
+    at = [i * (100_000 - PIECE) // (PIECES - 1) for i in range(PIECES)]
+    assert got[3].decode() == "".join(texts[3][a: a + PIECE] + " " for a in at)
