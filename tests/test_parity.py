@@ -4,7 +4,7 @@ driver runs the same comparison on sf0.01)."""
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from oracle_check import TABLES, compare
 
 import __spark_entry__ as E

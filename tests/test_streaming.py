@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tarn.operators.store import read
 from tarn.operators.records import build_records, prepare_for_load
 from tarn.sources import testdata as td
