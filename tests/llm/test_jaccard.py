@@ -14,8 +14,8 @@ def shingles(text, k=4):
     return frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
 
 
-def brute(rows, percent=85):
-    sets = [shingles(t) for _, t in rows]
+def brute(rows, percent=85, k=4):
+    sets = [shingles(t, k) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(i):
