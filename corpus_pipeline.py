@@ -6,6 +6,14 @@ its predecessor kept. Every stage but the last returns the columns of
 document stays, documents with a benchmark passage go, sources are mixed
 to target weights (a document is repeated as often as the mix takes it),
 and what is left is put into shards.
+
+Near copies are documents linked by 80 % of their five-word shingles.
+Every stage takes any documents: a null or empty text is never toxic,
+copies nothing, holds no passage and is taken as often as the whole part of
+its source's rate says (its size is 0); rows are known by id and text, so ids may be null or repeat with other texts, and of equal rows one
+stays at the second stage; texts are read whole, however long; an empty
+table gives no rows; extra columns are carried up to the last stage, which
+returns the digest of the shards.
 """
 
 from __future__ import annotations
@@ -25,7 +33,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_copies(docs)
+    return drop_near_copies(docs, k=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
