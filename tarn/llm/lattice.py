@@ -47,8 +47,8 @@ from .common import Scratch, read_table, splitmix, text_bytes, text_slices
 FOLDS, HELD_OUT = 7, 2
 ROUNDS = 2
 PRIOR = 1.0                # pseudo counts of the prior, per piece
-HOT = 1 << 16
-HOT_BYTES = 64
+HOT = 1 << 18
+HOT_BYTES = 32
 FLUSH = 200_000            # distinct words that a task gathers before it passes them on
 CELLS = 1 << 20            # arcs that are held at once
 MARK = "▁"
