@@ -145,18 +145,27 @@ class SnapshotTable:
     def _scan(self, folder: str, wanted: dict[str, list[str]], m: dict, schema: T.StructType, extra: tuple = ()) -> DataFrame:
         """Rows of the wanted buckets of commits, with commit and bucket:
         one scan for each set of file types, cast to ``schema``."""
-        by_types: dict[str, list[str]] = {}
+        by_types: dict[str, dict[tuple, list[str]]] = {}
         for commit, buckets in wanted.items():
-            by_types.setdefault(json.dumps(m["commits"][commit]["schema"]), []).extend(
-                f"{self.path}/{folder}/{COMMIT}={commit}/{BUCKET}={b}" for b in buckets)
+            info = m["commits"][commit]
+            whole = info["history_buckets" if folder == "history" else "buckets"]
+            some = () if set(buckets) == set(whole) else tuple(sorted(buckets))
+            by_types.setdefault(json.dumps(info["schema"]), {}).setdefault(some, []).append(commit)
         names = [*schema.fieldNames(), *extra]
         types = {f.name: f.dataType for f in schema.fields} | {DIGEST: T.BinaryType()} | {s: T.TimestampNTZType() for s in STAMPS}
         out = None
-        for own, paths in by_types.items():
+        for own, parts in by_types.items():
             stored = T.StructType.fromJson(json.loads(own))
             there = T.StructType([*stored.fields, *(T.StructField(n, types[n]) for n in (*STAMPS, DIGEST)),
                                   T.StructField(COMMIT, T.StringType()), T.StructField(BUCKET, T.StringType())])
+            # whole commits are listed; the buckets not wanted are pruned
+            paths = [f"{self.path}/{folder}/{COMMIT}={c}" for commits in parts.values() for c in commits]
             df = self.spark.read.schema(there).option("basePath", f"{self.path}/{folder}").parquet(*paths)
+            if any(parts):
+                keep = F.lit(False)
+                for some, commits in parts.items():
+                    keep = keep | (F.col(COMMIT).isin(commits) & (F.col(BUCKET).isin(list(some)) if some else F.lit(True)))
+                df = df.where(keep)
             df = df.select(*[(F.col(n) if n in there.fieldNames() else F.lit(None)).cast(types[n]).alias(n) for n in names], COMMIT, BUCKET)
             out = df if out is None else out.unionByName(df)
         return out if out is not None else self.spark.createDataFrame([], T.StructType([*(T.StructField(n, types[n]) for n in names), T.StructField(COMMIT, T.StringType()), T.StructField(BUCKET, T.StringType())]))
@@ -330,7 +339,7 @@ class SnapshotTable:
     def _written_digest(self, commit: str, schema: T.StructType, columns: list[str], written: dict[str, int]) -> str:
         if not written:
             return "0-0"
-        m = {"commits": {commit: {"schema": schema.jsonValue()}}}
+        m = {"commits": {commit: {"schema": schema.jsonValue(), "buckets": sorted(written)}}}
         return _digest(self._scan("data", {commit: sorted(written)}, m, schema).select(*columns))
 
     def _drop(self, commit: str) -> None:

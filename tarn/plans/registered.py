@@ -241,33 +241,73 @@ STORED_SQL = "WITH " + LINE_SQL + _src_sql("1.0") + """, merged AS (
 
 
 def _stored(spark, sf):
-    """Two batches written to a stored table, the second one twice (a replay)."""
+    """Two batches written to a table in versions, the second one twice (a replay)."""
     import uuid
 
-    from tarn.operators.store import write_upsert
+    from tarn.operators.snapshots import SnapshotTable
     from tarn.session import scratch_dir
-    base = scratch_dir(spark, f"stored-{uuid.uuid4().hex}")
-    table, history = f"{base}/table", f"{base}/history"
-    write_upsert(spark, td.upsert_target(spark, sf).drop("created_at"), table, history, "2001-01-01 00:00:00")
+    table = SnapshotTable(spark, scratch_dir(spark, f"stored-{uuid.uuid4().hex}/table"))
+    table.upsert(td.upsert_target(spark, sf).drop("created_at"), "2001-01-01 00:00:00", "first")
     source = td.upsert_source(spark, sf, bump=1.0)
-    write_upsert(spark, source, table, history, td.UPSERT_BATCH_TS)
-    write_upsert(spark, source, table, history, td.UPSERT_BATCH_TS)
-    return table, history
+    table.upsert(source, td.UPSERT_BATCH_TS, "second")
+    table.upsert(source, td.UPSERT_BATCH_TS, "second")
+    return table
+
+
+STORED_COLUMNS = ["id", "value", "council", "created_at", "updated_at"]
+STORED_HISTORY_SQL = STORED_SQL + f"""
+SELECT t.id, t.value, lower(t.council) AS council, TIMESTAMP '2001-01-01 00:00:00' AS created_at,
+  TIMESTAMP '{td.UPSERT_BATCH_TS}' AS updated_at
+FROM tgt t JOIN src s ON t.id = s.id WHERE t.value != s.value"""
 
 
 @register("K4_upsert_stored", STORED_SQL + "SELECT * FROM merged")
 def q_upsert_stored(spark, sf):
-    from tarn.operators.store import read
-    return read(spark, _stored(spark, sf)[0]).select("id", "value", "council", "created_at", "updated_at")
+    return _stored(spark, sf).read().select(*STORED_COLUMNS)
 
 
-@register("K5_history_stored", STORED_SQL + f"""
-SELECT t.id, t.value, lower(t.council) AS council, TIMESTAMP '2001-01-01 00:00:00' AS created_at,
-  TIMESTAMP '{td.UPSERT_BATCH_TS}' AS updated_at
-FROM tgt t JOIN src s ON t.id = s.id WHERE t.value != s.value""")
+@register("K5_history_stored", STORED_HISTORY_SQL)
 def q_history_stored(spark, sf):
-    from tarn.operators.store import read
-    return read(spark, _stored(spark, sf)[1]).select("id", "value", "council", "created_at", "updated_at")
+    return _stored(spark, sf).history().select(*STORED_COLUMNS)
+
+
+@register("K4_upsert_compacted", STORED_SQL + "SELECT * FROM merged")
+def q_upsert_compacted(spark, sf):
+    """The same rows when every bucket has been rewritten."""
+    table = _stored(spark, sf)
+    table.compact(every=True)
+    return table.read().select(*STORED_COLUMNS)
+
+
+@register("K5_history_compacted", STORED_HISTORY_SQL)
+def q_history_compacted(spark, sf):
+    table = _stored(spark, sf)
+    table.compact(every=True)
+    return table.history().select(*STORED_COLUMNS)
+
+
+@register("T3_unchanged_rows", "WITH " + LINE_SQL + _src_sql("0.0") + f"""
+SELECT s.id, s.value, lower(s.council) AS council,
+  CASE WHEN t.id IS NULL THEN TIMESTAMP '{td.UPSERT_BATCH_TS}' ELSE TIMESTAMP '2001-01-01 00:00:00' END AS created_at,
+  CASE WHEN t.id IS NOT NULL AND (t.value IS DISTINCT FROM s.value OR lower(t.council) IS DISTINCT FROM lower(s.council))
+       THEN TIMESTAMP '{td.UPSERT_BATCH_TS}' END AS updated_at
+FROM src s LEFT JOIN tgt t ON s.id = t.id
+UNION ALL
+SELECT t.id, t.value, lower(t.council), TIMESTAMP '2001-01-01 00:00:00', CAST(NULL AS TIMESTAMP)
+FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.id = t.id)""")
+def q_unchanged(spark, sf):
+    """A batch of which the stored rows are no news, then the same batch
+    under another tag: unchanged rows keep their stamps."""
+    import uuid
+
+    from tarn.operators.snapshots import SnapshotTable
+    from tarn.session import scratch_dir
+    table = SnapshotTable(spark, scratch_dir(spark, f"unchanged-{uuid.uuid4().hex}/table"))
+    table.upsert(td.upsert_target(spark, sf).drop("created_at"), "2001-01-01 00:00:00", "first")
+    source = td.upsert_source(spark, sf)
+    table.upsert(source, td.UPSERT_BATCH_TS, "second", skip_unchanged=True)
+    table.upsert(source, "2002-01-01 00:00:00", "third", skip_unchanged=True)
+    return table.read().select(*STORED_COLUMNS)
 
 
 @register("K9_full_rebuild", "WITH " + LINE_SQL + _src_sql("0.0") + """
@@ -648,6 +688,96 @@ def q_daily(spark, sf):
     return out.withColumn("variables", F.array_join("variables", ","))
 
 
+def _versions(spark, sf):
+    """The raw table in two versions: the loads before K8_CUT, then the
+    batch of new and corrected records."""
+    import uuid
+
+    from tarn.operators.snapshots import SnapshotTable
+    from tarn.session import scratch_dir
+    rec = td.raw_records(spark, sf)
+    is_old, fixed = F.col("created_at") < F.lit(K8_CUT).cast("timestamp_ntz"), F.substring(F.col("id"), -1, 1) == "7"
+    table = SnapshotTable(spark, scratch_dir(spark, f"versions-{uuid.uuid4().hex}/lwq_data"))
+    first = table.replace(rec.filter(is_old), K8_CUT)
+    batch = (rec.filter(~is_old | fixed)
+             .withColumn("value", F.when(is_old & fixed, F.lit("42")).otherwise(F.col("value"))).drop("created_at"))
+    return table, first, table.upsert(batch, K8_BATCH_TS, "correction", compact=False)
+
+
+@register("A1_incremental", A1_SQL.replace(O.fact_records(), O.corrected_facts(K8_CUT, K8_BATCH_TS)))
+def q_summary_incremental(spark, sf):
+    """A1 from its state before the batch and the batch's changes."""
+    from tarn.plans import increments as inc
+    table, first, last = _versions(spark, sf)
+    sites = td.sites_latest(spark, sf)
+    facts = lambda r: marts.fact_records(r, sites, with_clock=False)
+    old, new = inc.fact_changes(table.changes(first, last), facts)
+    state = inc.update_summary(inc.summary_state(facts(table.read(first)), sites), old, new, sites, facts(table.read(last)))
+    return inc.summary_of(state).withColumn("average_value", F.round("average_value", 6))
+
+
+@register("K10_incremental", A2_SQL.replace(O.fact_records(), O.corrected_facts(K8_CUT, K8_BATCH_TS)))
+def q_daily_incremental(spark, sf):
+    """A2 from its state before the batch and the batch's changes: distinct
+    sites merge as bitmaps."""
+    from tarn.plans import increments as inc
+    table, first, last = _versions(spark, sf)
+    sites = td.sites_latest(spark, sf)
+    facts = lambda r: marts.fact_records(r, sites, with_clock=False)
+    numbers = inc.number_sites(sites)
+    old, new = inc.fact_changes(table.changes(first, last), facts)
+    state = inc.update_daily(inc.daily_state(facts(table.read(first)), numbers), old, new, numbers, facts(table.read(last)))
+    return inc.daily_of(state).withColumn("variables", F.array_join("variables", ","))
+
+
+@register("K2_append_log", """
+SELECT event_id, ts, user_id, event_type, value, TIMESTAMP '2024-01-15 00:00:00' AS created_at FROM events WHERE ts < TIMESTAMP '2024-01-15'
+UNION ALL
+SELECT event_id, ts, user_id, event_type, value, TIMESTAMP '2024-02-15 00:00:00' FROM events""")
+def q_append_log(spark, sf):
+    """Two loads appended to a log, each with its time; the second brings
+    the first one's rows again, and a log keeps both."""
+    import uuid
+
+    from tarn.operators.store import append, read
+    from tarn.session import scratch_dir
+    path = scratch_dir(spark, f"log-{uuid.uuid4().hex}/log")
+    ev = td.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    append(ev.filter(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")), path, "2024-01-15 00:00:00", partition="event_type")
+    append(ev, path, "2024-02-15 00:00:00", partition="event_type")
+    return read(spark, path)
+
+
+@register("P1_in_councils", "WITH " + O.SITES + " SELECT * FROM sites WHERE lower(council) IN ('nation_1', 'nation_12')")
+def q_in_councils(spark, sf):
+    """Sites of the councils asked for, in whatever case they are written."""
+    from tarn.operators.sites import in_councils
+    upper = td.sites_latest(spark, sf).withColumn("__c", F.upper("council"))
+    return in_councils(upper, ["Nation_1", "NATION_12"], "__c").drop("__c")
+
+
+@register("P18_select_rename", """
+SELECT event_id AS id, ts AS datetime, event_type AS name, value AS temperature FROM events""")
+def q_select_rename(spark, sf):
+    """Events as flattened records of a weather API: its fields, renamed."""
+    from tarn.operators.projection import WEATHER_FIELDS, select_rename
+    api = td.table(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("dt"), F.col("event_type").alias("name"),
+                                               F.col("value").alias("main.temp"), F.col("user_id").alias("sys.id"))
+    return select_rename(api, WEATHER_FIELDS)
+
+
+@register("S8_csv_column", "SELECT CAST(c_name AS VARCHAR) AS c_name FROM customer")
+def q_csv_column(spark, sf):
+    """One text column of customers that were landed as headed CSV."""
+    import uuid
+
+    from tarn.session import scratch_dir
+    from tarn.sources.files import read_csv_column
+    path = scratch_dir(spark, f"csv-{uuid.uuid4().hex}/customer")
+    td.table(spark, sf, "customer").select("c_name", "c_mktsegment", "c_acctbal").write.option("header", True).csv(path)
+    return read_csv_column(spark, path, "c_name")
+
+
 @register("K3_replace_slice", "WITH " + O.SITES + ", gml AS (" + O.S3 + """),
 batch AS (SELECT *, 'yes' AS lawa_site, TIMESTAMP '2024-01-01 00:00:00' AS created_at
           FROM gml WHERE lower(lwquality) IN ('y', 'yes', 'true'))
