@@ -1,6 +1,6 @@
 import zlib
 
-from tarn.llm.toxicity import Model, Scorer, drop_toxic, learn, normal, op5_compression_toxicity, score_documents, train, windows
+from tarn.llm.toxicity import CODE, _dictionary, coded, Model, Scorer, drop_toxic, learn, normal, op5_compression_toxicity, score_documents, train, windows
 
 SF = "/root/testdata/sf0.1"
 LABELS = "doc_id long, quality int, toxic int"
@@ -14,14 +14,15 @@ def test_held_out_accuracy(spark):
     for d, r in out.items():
         assert r["held_out"] == (zlib.crc32(str(d).encode()) % 5 == 0)
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
-    # in the other languages of this table toxic and ordinary words are the same
-    english = {r["doc_id"] for r in spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").collect()}
-    held = [d for d in bad if out[d]["held_out"] and d in english]
-    ranked = [(out[d]["score"], bad[d]) for d in held]
-    pairs = [(a > b) + 0.5 * (a == b) for a, x in ranked if x for b, y in ranked if not y]
-    assert sum(pairs) / len(pairs) > 0.9          # about one toxic label in fifteen is on a text without any mark
-    assert sum(out[d]["predicted"] for d in held if bad[d]) >= 0.8 * sum(bad[d] for d in held)
-    assert sum(out[d]["predicted"] for d in held if not bad[d]) <= 0.02 * len(held)
+    lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for one in ["en", "de", "fr", "es", None]:
+        held = [d for d in bad if out[d]["held_out"] and one in (None, lang[d])]
+        ranked = [(out[d]["score"], bad[d]) for d in held]
+        pairs = [(a > b) + 0.5 * (a == b) for a, x in ranked if x for b, y in ranked if not y]
+        toxic = sum(bad[d] for d in held)
+        assert sum(pairs) / len(pairs) > 0.9          # some labels are on texts without any mark
+        assert sum(out[d]["predicted"] for d in held if bad[d]) >= (0.8 if toxic >= 10 else 0.5) * toxic
+        assert sum(out[d]["predicted"] for d in held if not bad[d]) <= 0.02 * len(held)
 
 
 def corpus():
@@ -60,10 +61,22 @@ def test_without_labels_and_empty(spark, make_docs):
     assert learn(make_docs([]), spark.createDataFrame(labels, LABELS)) == Model()
 
 
-def test_windows_cover_the_text():
-    text = bytes(range(256)) * 9
-    assert all(text[i: i + 16] in b"|".join(windows(text)) for i in range(len(text) - 15))
-    assert windows(b"") == [b""]
+def test_windows_hold_every_word_once():
+    words = [f"word{i}".encode() for i in range(500)] + [b"x" * 9, b"x" * 10_000]
+    codes = b"".join(windows(coded(b" ".join(words))))
+    assert len(codes) == CODE * len(words) and codes == coded(b"  ".join(words))
+    assert codes[-CODE:] == codes[-2 * CODE: -CODE] and len({codes[i: i + CODE] for i in range(0, len(codes), CODE)}) == 501
+    assert windows(coded(b"")) == [b""]
+
+
+def test_dictionaries_are_two_and_larger_ones_are_trained():
+    rows, _ = corpus()
+    toxic, ordinary = [normal(t.encode()) for i, t in rows if i % 5 == 0], [normal(t.encode()) for i, t in rows if i % 5]
+    m = train(toxic, ordinary, 0.2)
+    marks = {coded(w.encode()) for w in ("vilegrot", "snarkbane")}
+    assert {m.toxic[i: i + CODE] for i in range(0, len(m.toxic), CODE)} == marks and not any(x in m.ordinary for x in marks)
+    many = [coded(" ".join(f"w{(i * 37 + j * 11) % 5000}" for j in range(90)).encode()) for i in range(300)]
+    assert 0 < len(_dictionary(many, 4096)) <= 4096
 
 
 def test_scores_do_not_depend_on_fold_or_id():
