@@ -2,10 +2,13 @@
 
 Equal vectors are one node that keeps its k + 1 smallest ids, so a vector
 with a third of all rows is one node too. Nodes are dealt by hash into
-shards of about ``rows_per_shard``; every shard builds a hierarchical
+shards of about ``rows_per_shard`` (a search costs nearly the same in a
+large graph as in a small one, so shards are as large as a task can build);
+every shard builds a hierarchical
 navigable small-world graph, kept as a table of flat neighbour arrays.
-Distinct query vectors visit every shard, in blocks; the shards' results
-are merged per query by exact distance and id.
+Distinct query vectors visit every shard, in blocks of so many that a shard
+is sent about once; the shards' results are merged per query by exact
+distance and id. An index keeps k, and a search for more raises.
 
 Distances are Euclidean, in double precision, on the original vectors.
 Vectors that are null, zero, or hold null or non-finite components take no
@@ -29,9 +32,9 @@ from .common import Scratch, read_table, splitmix
 K = 10
 M = 12                    # neighbours per node above the ground level; twice that on it
 EF_BUILD = 80
-EF_SEARCH = 120
-ROWS_PER_SHARD = 1024
-QUERIES_PER_BLOCK = 2048
+EF_SEARCH = 256
+ROWS_PER_SHARD = 1 << 14
+QUERIES_PER_BLOCK = 1 << 16
 FEW = 10_000
 
 
@@ -153,7 +156,7 @@ def build(vectors: np.ndarray, keys: np.ndarray, ef: int = EF_BUILD) -> Graph:
     return graph
 
 
-INDEX = ("dim int, shard int, n int, entry int, levels binary, vectors binary, ids binary, id_ends binary, link_levels int, links binary")
+INDEX = ("dim int, shard int, k int, n int, entry int, levels binary, vectors binary, ids binary, id_ends binary, link_levels int, links binary")
 
 
 def _flat(g: Graph) -> bytes:
@@ -162,13 +165,13 @@ def _flat(g: Graph) -> bytes:
     return b"".join([g.links[0].tobytes(), *(g.links[lv][g.levels >= lv].tobytes() for lv in range(1, len(g.links)))])
 
 
-def _index_shard(pdf: pd.DataFrame) -> pd.DataFrame:
+def _index_shard(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
     pdf = pdf.sort_values("node", kind="stable")
     vectors = np.array([np.asarray(v, np.float64) for v in pdf["embedding"]])
     g = build(vectors, pdf["node"].to_numpy())
     ids = [np.asarray(i, np.int64) for i in pdf["ids"]]
     return pd.DataFrame([{
-        "dim": int(pdf["dim"].iloc[0]), "shard": int(pdf["shard"].iloc[0]), "n": len(vectors), "entry": g.entry,
+        "dim": int(pdf["dim"].iloc[0]), "shard": int(pdf["shard"].iloc[0]), "k": k, "n": len(vectors), "entry": g.entry,
         "levels": g.levels.astype("<i1").tobytes(), "vectors": vectors.tobytes(), "ids": np.concatenate(ids).tobytes(),
         "id_ends": np.cumsum([len(i) for i in ids]).astype("<i8").tobytes(), "link_levels": len(g.links), "links": _flat(g)}])
 
@@ -193,6 +196,8 @@ def _searcher(k: int, ef: int):
     def run(queries: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         out = {"query": [], "vec_id": [], "score": []}
         for _, row in index.iterrows():
+            if row["k"] < k:
+                raise ValueError(f"the index keeps equal vectors for {row['k']} neighbours, not {k}")
             g = load_graph(row)
             ids, ends = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["id_ends"], "<i8")
             for query, v in zip(queries["query"], queries["embedding"]):
@@ -229,7 +234,7 @@ def build_index(vectors: DataFrame, scratch: Scratch, k: int = K, rows_per_shard
     shards = nodes.groupBy(F.col("dim").alias("_dim")).agg(F.ceil(F.count(F.lit(1)) / rows_per_shard).alias("shards"))
     shards = F.broadcast(shards) if shards.limit(FEW + 1).count() <= FEW else shards
     dealt = nodes.join(shards, F.col("dim") == F.col("_dim")).withColumn("shard", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int"))
-    return scratch.save(dealt.select("dim", "shard", "node", "embedding", "ids").groupBy("dim", "shard").applyInPandas(_index_shard, INDEX), "index")
+    return scratch.save(dealt.select("dim", "shard", "node", "embedding", "ids").groupBy("dim", "shard").applyInPandas(lambda pdf: _index_shard(pdf, k), INDEX), "index")
 
 
 def nearest(queries: DataFrame, index: DataFrame, scratch: Scratch, k: int = K, ef: int = EF_SEARCH,

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tarn.llm.common import Scratch
 from tarn.llm.hnsw import build, build_index, nearest, op7_hnsw_search, valid_vectors
@@ -72,3 +73,13 @@ def test_graph_alone():
         true = np.argsort(((x - q) ** 2).sum(1))[:10]
         hits += len(set(true.tolist()) & set(g.search(q, 80)[:10].tolist()))
     assert hits >= 0.95 * 500
+
+
+def test_a_search_for_more_than_the_index_keeps_raises(spark):
+    rows = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(30)], "vec_id long, embedding array<double>")
+    scratch = Scratch(spark, "test-hnsw-k")
+    vectors = valid_vectors(rows)
+    index = build_index(vectors, scratch, k=3)
+    assert nearest(vectors.where("vec_id = 5"), index, scratch, k=3).count() == 3
+    with pytest.raises(Exception, match="keeps equal vectors"):
+        nearest(vectors.where("vec_id = 5"), index, Scratch(spark, "test-hnsw-k2"), k=4).count()
