@@ -19,6 +19,7 @@ A scan never moves a text between tasks, so no key can be hot.
 
 from __future__ import annotations
 
+import heapq
 from bisect import bisect_right
 from dataclasses import dataclass
 
@@ -81,16 +82,33 @@ def _places(text: bytes, what: bytes):
         at = text.find(what, at + 1)
 
 
-def _matches(pattern, text: bytes, lo: int, hi: int, least: int):
-    """The best match of a stretch, then those of what lies before and
-    behind it; none is shorter than ``least``."""
-    open_parts = [(lo, hi)]
-    while open_parts:
-        lo, hi = open_parts.pop()
+def _matches(pattern, text: bytes, windows: list[tuple[int, int]], least: int):
+    """Matches of all windows that do not overlap, those with the fewest
+    errors first. A window whose match was taken by a better one is searched
+    again in what is left of it; windows are little longer than a notice, so
+    the work grows with their number."""
+    found: list[tuple[int, int, int, int, int]] = []
+
+    def look(lo: int, hi: int) -> None:
         if hi - lo >= least and (m := pattern.search(text, lo, hi)):
-            yield m
-            # a match ends a word: what lies before ends at the space
-            open_parts += [(lo, m.start() - 1), (max(m.end(), lo + 1), hi)]
+            heapq.heappush(found, (sum(m.fuzzy_counts), m.start(), m.end(), lo, hi))
+    for lo, hi in windows:
+        look(lo, hi)
+    starts: list[int] = []
+    ends: list[int] = []
+    while found:
+        errors, start, end, lo, hi = heapq.heappop(found)
+        i = bisect_right(ends, start)
+        if i == len(starts) or starts[i] >= end:
+            starts.insert(i, start)
+            ends.insert(i, end)
+            yield start, end, errors
+            continue
+        i = bisect_right(ends, lo)
+        while i < len(starts) and starts[i] < hi:      # a match ends a word: what lies before ends at the space
+            look(lo, starts[i] - 1)
+            lo, i = ends[i], i + 1
+        look(lo, hi)
 
 
 class Scanner:
@@ -116,21 +134,20 @@ class Scanner:
         are the documents' places in ``text``."""
         for notice, parts, pattern in self.notices:
             size, e = len(notice.phrase), notice.errors
-            stretches: list[list[int]] = []
-            for at, offset in sorted((place - offset, offset) for offset, seed in parts for place in _places(text, seed)):
+            windows = []
+            for at, offset in sorted({(place - offset, offset) for offset, seed in parts for place in _places(text, seed)}):
                 d = bisect_right(starts, at + offset) - 1
                 first, last = starts[d], starts[d + 1] - 1 if d + 1 < len(starts) else len(text) - 1
-                # whole words around the place, within the document
-                lo = max(first, text.rfind(b" ", first, max(first, at - e) + 1) + 1)
-                hi = text.find(b" ", min(last, at + size + e), last)
-                hi = last if hi < 0 else hi
-                if stretches and lo < stretches[-1][1]:
-                    stretches[-1][1] = max(stretches[-1][1], hi)
-                else:
-                    stretches.append([lo, hi])
-            for lo, hi in stretches:
-                for m in _matches(pattern, text, lo, hi, size - e):
-                    yield m.start(), m.end(), sum(m.fuzzy_counts), notice.label
+                # from the first word that can begin the notice to the last that can end it
+                lo, hi = max(first, at - e), min(last, at + size + e)
+                if lo > first and text[lo - 1] != 32:
+                    lo = text.find(b" ", lo, hi) + 1
+                if hi < last and text[hi] != 32:
+                    hi = text.rfind(b" ", lo, hi)
+                if 0 < lo < hi and (not windows or windows[-1] != (lo, hi)):
+                    windows.append((lo, hi))
+            for start, end, errors in _matches(pattern, text, windows, size - e):
+                yield start, end, errors, notice.label
 
 
 class _WordCounter:

@@ -71,7 +71,7 @@ def merged_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
 
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, key: str = "id", value: str = "value", buckets: int = 64,
-                 ratio: float = 0.5, most_commits: int = 8):
+                 ratio: float = 1.0, most_commits: int = 8):
         self.spark, self.path, self.key, self.value = spark, path.rstrip("/"), key, value
         self.buckets, self.ratio, self.most_commits = buckets, ratio, most_commits
 
@@ -278,7 +278,10 @@ class SnapshotTable:
     # -- writing -------------------------------------------------------------
 
     def _row_digest(self, columns) -> Column:
-        return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in sorted(columns)])), 256))
+        """sha256 of the columns that are set, each as name, length and text."""
+        text = [F.col(c).cast("string") for c in sorted(columns)]
+        parts = [F.coalesce(F.concat(F.lit(f"{c}="), F.length(t).cast("string"), F.lit(":"), t), F.lit("")) for c, t in zip(sorted(columns), text)]
+        return F.unhex(F.sha2(F.concat(*parts).cast("binary"), 256))
 
     def _next(self, m: dict, commit: str, ts, tag: str | None, schema: T.StructType, written: dict[str, int], **more) -> dict:
         seq = m["seq"] + 1

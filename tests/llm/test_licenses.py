@@ -1,6 +1,6 @@
 import re
 
-from tarn.llm.licenses import op1_license_scan, scan_licenses, seeds
+from tarn.llm.licenses import normal_words, op1_license_scan, scan_licenses, seeds
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -76,3 +76,51 @@ def test_a_better_match_behind_hides_no_earlier_one():
 def test_spans_of_repeated_notices(spark, make_docs):
     row = scan_licenses(make_docs([(1, "All right reserved. All rights reserved.")])).first()
     assert [(s["first_word"], s["n_words"], s["errors"]) for s in row["spans"]] == [(0, 3, 1), (3, 3, 0)]
+
+
+def edits_to(words, phrase):
+    """Smallest number of edits between a phrase and any run of whole words."""
+    text, best = " ".join(words), None
+    ends = {i for i, c in enumerate(text) if c == " "} | {len(text)}
+    for start in [0, *(i + 1 for i in ends if i < len(text))]:
+        row = list(range(len(phrase) + 1))
+        for j in range(start, min(len(text), start + len(phrase) + 8)):
+            new = [row[0] + 1]
+            for i, c in enumerate(phrase):
+                new.append(min(new[-1] + 1, row[i + 1] + 1, row[i] + (c != text[j])))
+            row = new
+            if j + 1 in ends and (best is None or row[-1] < best):
+                best = row[-1]
+    return best
+
+
+def test_labels_against_edit_distances(spark, make_docs):
+    import random
+
+    from tarn.llm.licenses import BASE, NOTICES
+    rng, rows = random.Random(8), []
+    for i in range(60):
+        notice = rng.choice(NOTICES)
+        own = list(notice.phrase)
+        for _ in range(rng.randint(0, notice.errors + 2)):
+            at = rng.randrange(len(own))
+            rng.choice([lambda: own.__setitem__(at, "q"), lambda: own.insert(at, "z"), lambda: own.pop(at)])()
+        rows.append((i, " ".join([*(f"w{rng.randrange(50)}" for _ in range(4)), "".join(own), "tail"])))
+    for r in scan_licenses(make_docs(rows)).collect():
+        words = normal_words(dict(rows)[r["doc_id"]].encode())
+        text = [w.decode() for w in words]
+        want = {n.label for n in NOTICES if (d := edits_to(text, n.phrase)) is not None and d <= n.errors}
+        want |= {label for label, phrase in BASE if f" {phrase} " in f" {' '.join(text)} "}
+        assert set(filter(None, r["labels"].split(","))) == want
+        for s in r["spans"]:
+            assert " ".join(text[s["first_word"]: s["first_word"] + s["n_words"]]) == s["text"]
+
+
+def test_work_grows_with_the_text(spark, make_docs):
+    import time
+    start = time.time()
+    out = scan_licenses(make_docs([(1, "mit licence " * 90_000), (2, "licence" * 150_000 + " mit licens")])).collect()
+    assert time.time() - start < 120
+    by = {r["doc_id"]: r for r in out}
+    assert len(by[1]["spans"]) == 90_000 and {s["errors"] for s in by[1]["spans"]} == {1}
+    assert "mit" in by[2]["labels"] or by[2]["spans"] == []
