@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tarn.llm import decontaminate
 from tarn.llm.decontaminate import RADIUS, THRESHOLD, _blocks, drop_contaminated, find_passages, op4_decontaminate, simhash
 
 SF = "/root/testdata/sf0.001"
@@ -91,7 +92,7 @@ def test_blocks_meet_within_the_radius(spark):
         flips = rng.sample(range(64), RADIUS)
         per = Counter(b // 8 for b in flips)
         assert min(per[b] for b in range(8)) <= 1
-    row = spark.createDataFrame([(["a", "b", "c"],)], "w array<string>").select(simhash(F.col("w")).alias("fp")).select("fp", _blocks(F.col("fp")).alias("b")).first()
+    row = spark.createDataFrame([([(5, 3), (6, 1), (7, 1)],)], "w array<struct<shingle:bigint,w:bigint>>").select(simhash(F.col("w")).alias("fp")).select("fp", _blocks(F.col("fp")).alias("b")).first()
     assert sum(b["value"] << (8 * b["block"]) for b in row["b"]) == row["fp"] % (1 << 64)
 
 
@@ -115,4 +116,26 @@ def test_items_of_one_template_are_found_without_it(spark, make_docs, literals):
     got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["distance"]) for r in find_passages(make_docs(rows), bench, literals=literals).collect()}
     want = brute(rows, items)
     assert {k for k in want} == {(i, i) for i in range(30)} and {k: s for k, (s, _) in got.items()} == pytest.approx(want)
-    assert any(d > RADIUS for _, d in got.values())
+    assert all(d <= RADIUS for _, d in got.values())
+
+
+def test_fingerprints_decide_and_seldom_miss(spark, make_docs, monkeypatch):
+    """Items of templates, documents with a window near the threshold."""
+    rng = random.Random(23)
+    words = lambda n: [f"m{rng.randrange(1_000_000)}" for _ in range(n)]
+    templates = [words(20) for _ in range(10)]
+    items = [(i, " ".join(templates[i % 10] + words(40))) for i in range(500)]
+    rows = []
+    for i, text in items:
+        own = text.split()
+        at = rng.randrange(25, 45)
+        own[at:at + 4] = words(4)           # eight shingles of about forty
+        rows.append((i, " ".join(words(30) + own + words(10))))
+    want = brute(rows, items)
+    assert len(want) > 400 and sum(s < 0.85 for s in want.values()) > 400
+    bench = spark.createDataFrame([(i, t, "x") for i, t in items], BENCH)
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in find_passages(make_docs(rows), bench).collect()}
+    assert set(got) <= set(want) and all(got[k] == pytest.approx(want[k]) for k in got)
+    assert len(got) >= 0.99 * len(want)
+    monkeypatch.setattr(decontaminate, "RADIUS", -1)
+    assert find_passages(make_docs(rows[:20]), bench).collect() == []
