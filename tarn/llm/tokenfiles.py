@@ -45,10 +45,13 @@ HEADER = struct.Struct("<4sB3xI4x32s")
 BLOCK_DOCS = 1024
 BLOCK_BYTES = 4 << 20
 DICT_BYTES = 64 << 10
-#: The dictionary is trained on at most so many documents of at most so
-#: many bytes each, those with the smallest id hashes.
-SAMPLE_DOCS = 400
+#: The dictionary is trained on documents of at most so many bytes, in the
+#: order of their ids' hashes, up to so many bytes and documents together.
+#: A smaller sample gives a smaller dictionary, an eighth of its ids.
+SAMPLE_BYTES = 1 << 20
+SAMPLE_DOCS = 2000
 SAMPLE_DOC_BYTES = 32 << 10
+LEAST_TRAINED = 4 << 10
 LEVEL = 3
 CACHE_PIECES = 1_000_000
 
@@ -163,22 +166,34 @@ def encoder(path: str) -> PieceEncoder:
 
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str) -> bytes:
-    """Dictionary from a bounded sample; empty where the sample is too
-    small to train one (frames are then compressed without)."""
-    short = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") <= SAMPLE_DOC_BYTES))
+    """Dictionary from a bounded sample, shrunk to what the sample gives.
+    Where even that is too little to train one, the sample's ids are the
+    dictionary; it is empty only where no document short enough has a text."""
+    short = docs.where(F.col("doc_id").isNotNull() & F.octet_length("text").between(1, SAMPLE_DOC_BYTES))
     # ids first: a task's share of an ordered limit goes to the driver
     ids = short.select(F.col("doc_id").alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCS)
-    rows = (short.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).groupBy("doc_id").agg(F.min("text").alias("text")).collect())
+    texts = short.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).groupBy("doc_id").agg(F.min("text").alias("text"))
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)   # SAMPLE_DOCS rows
+    sample = texts.withColumn("_before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)))
+    rows = sample.where(F.col("_before") < SAMPLE_BYTES).select("doc_id", "text").collect()
     enc = encoder(tokenizer_path)
     dtype = "<u2" if enc.width == 2 else "<u4"
-    samples = [s for r in sorted(rows) if (s := enc.encode(r["text"]).astype(dtype).tobytes())]
-    if sum(map(len, samples)) < 8 * DICT_BYTES or len(samples) < 32:
-        return b""
-    return zstandard.train_dictionary(DICT_BYTES, samples, k=512, d=8).as_bytes()
+    return dictionary_of([enc.encode(r["text"]).astype(dtype).tobytes() for r in sorted(rows)])
+
+
+def dictionary_of(samples: list[bytes]) -> bytes:
+    """A dictionary of at most ``DICT_BYTES``, an eighth of ``samples`` at most
+    where it is trained."""
+    have = sum(map(len, samples))
+    size = min(DICT_BYTES, have // 8)
+    if size >= LEAST_TRAINED and len(samples) >= 32:
+        return zstandard.train_dictionary(size, samples, k=512, d=8).as_bytes()
+    return b"".join(samples)[:DICT_BYTES]
 
 
 def _dictionary(raw: bytes):
-    return zstandard.ZstdCompressionDict(raw) if raw else None
+    # of raw ids unless it begins with zstandard's mark of a trained one
+    return zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_AUTO) if len(raw) >= 8 else None
 
 
 def pack_block(ids: list[int | None], counts: list[int], frames: list[bytes], width: int, dict_hash: bytes) -> bytes:
@@ -278,7 +293,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str) -> None:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dictionary = train_dictionary(rows, tokenizer_path)
     spark.createDataFrame([(hashlib.sha256(dictionary).hexdigest(), bytearray(dictionary))], "dict_hash string, dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
-    (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # the text's hash too: rows of a null or repeated id can be split
+    order = ["doc_id", F.xxhash64("text")]
+    (rows.repartitionByRange(*order).sortWithinPartitions(*order)
      .mapInArrow(_writer(tokenizer_path, dictionary), BLOCK_SCHEMA)
      .write.option("compression", "none").parquet(f"{path}/blocks"))
 

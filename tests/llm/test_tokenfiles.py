@@ -1,7 +1,9 @@
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -50,3 +52,39 @@ def test_files_and_edges(spark, make_docs):
     empty = Scratch(spark, "test-tokens").base
     write_token_files(make_docs([]), empty, PATH)
     assert read_token_files(spark, empty).collect() == []
+
+
+def test_any_corpus_has_a_dictionary(spark, make_docs):
+    rng = random.Random(8)
+    short = [(i, " ".join(rng.choice(["solar", "river", "stone", "cloud", "paper", "music"]) + str(rng.randrange(50)) for _ in range(12))) for i in range(3000)]
+    sizes = []
+    for rows, trained in ((short, True), (short[:40], False), ([(1, "one two three")], False)):
+        path = Scratch(spark, "test-tokens").base
+        write_token_files(make_docs(rows), path, PATH)
+        dictionary = bytes(spark.read.parquet(f"{path}/dictionary").first()["dictionary"])
+        assert dictionary and (dictionary[:4] == (0xEC30A437).to_bytes(4, "little")) == trained
+        got = sorted(map(tuple, read_token_files(spark, path).collect()), key=lambda r: r[1])
+        assert got == brute(rows)
+        sizes.append(sum(len(r["data"]) for r in spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks").collect()))
+    tok = Tokenizer.from_file(PATH)
+    plain = sum(len(zstandard.ZstdCompressor(level=3).compress(np.array(tok.encode(t, add_special_tokens=False).ids + [1], "<u2").tobytes())) for _, t in short)
+    assert sizes[0] - 30 * len(short) < plain      # block headers aside, a dictionary pays
+
+
+def test_null_and_repeated_ids_are_split_by_text(spark, make_docs):
+    # small partitions would be put together again
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _null_ids(spark, make_docs)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def _null_ids(spark, make_docs):
+    rows = [(None, f"text {i}") for i in range(4000)]
+    path = Scratch(spark, "test-tokens").base
+    write_token_files(make_docs(rows), path, PATH)
+    got = read_token_files(spark, path)
+    assert got.count() == 4000 and got.select("start").distinct().count() == 4000
+    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
+    assert blocks.groupBy("part").agg(F.sum("n_docs").alias("n")).agg(F.max("n")).first()[0] < 2000
