@@ -11,7 +11,7 @@ by less than one document, the last undecided one, which is rounded to the
 nearer side.
 
 The meetings form a reduction tree: undecided documents of a source are
-dealt by the hash of their id into groups of about ``fan_in``, each group
+dealt by the hash of their id, text and number among equal rows into groups of about ``fan_in``, each group
 is reduced to at most one undecided document, and those are grouped again
 until a source has at most one. Each level is a written table, so reruns
 of a task repeat nothing above it, and every draw is a hash of the two
@@ -40,6 +40,10 @@ BROADCAST_SOURCES = 100_000
 SEED = 20240
 WORD = "[^\\x20\\x09-\\x0D]+"
 EPS = 1e-9
+#: Repeated rows are numbered in runs of this many.
+RUN = 65_536
+#: What sets the draws of a repeated row apart from those of its id alone.
+REPEAT_STEP = 0x5851F42D4C957F2D
 
 
 def word_count(text: Column) -> Column:
@@ -109,14 +113,14 @@ def pivot(ids: list[int], sizes: list[int], probs: list[float], seed: int = SEED
 
 def _reduce(seed: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "doc_id", "row_key"], ascending=[False, True, True], kind="stable")
-        ids = pdf["doc_id"].fillna(0).astype("int64").tolist()
+        pdf = pdf.sort_values(["size", "doc_id", "row_key", "number"], ascending=[False, True, True, True], kind="stable")
+        ids = [d + n * REPEAT_STEP for d, n in zip(pdf["doc_id"].fillna(0).astype("int64").tolist(), pdf["number"].tolist())]
         return pdf.assign(p=pivot(ids, pdf["size"].tolist(), pdf["p"].tolist(), seed))
     return run
 
 
 def dependent_rounding(rows: DataFrame, scratch: Scratch, fan_in: int = FAN_IN, seed: int = SEED) -> DataFrame:
-    """``rows`` (doc_id, row_key, source, size > 0, p) with every ``p`` 0 or 1."""
+    """``rows`` (doc_id, row_key, number, source, size > 0, p) with every ``p`` 0 or 1."""
     undecided, done, level = rows, [], 0
     integral = (F.col("p") == 0) | (F.col("p") == 1)
     while True:
@@ -127,7 +131,7 @@ def dependent_rounding(rows: DataFrame, scratch: Scratch, fan_in: int = FAN_IN,
             return union_all([*done, undecided.withColumn("p", F.round("p"))])
         groups = counts.select(F.col("source").alias("_s"), F.ceil(F.col("n") / fan_in).alias("_g"))
         dealt = (undecided.join(maybe_small(groups), F.col("source").eqNullSafe(F.col("_s")))
-                 .withColumn("_g", F.pmod(F.xxhash64("doc_id", "row_key", F.lit(level)), F.col("_g"))).drop("_s"))
+                 .withColumn("_g", F.pmod(F.xxhash64("doc_id", "row_key", "number", F.lit(level)), F.col("_g"))).drop("_s"))
         met = scratch.save(dealt.groupBy("source", "_g").applyInPandas(_reduce(seed + level), dealt.schema).drop("_g"), f"met{level}")
         done.append(met.where(integral))
         undecided, level = met.where(~integral), level + 1
@@ -146,12 +150,23 @@ def maybe_small(sources: DataFrame) -> DataFrame:
     return F.broadcast(sources) if sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else sources
 
 
+def number_repeats(rows: DataFrame) -> DataFrame:
+    """``rows`` with a ``number`` (from 0) among equal ones, so that a row
+    repeated any number of times falls into many groups. Equal rows are
+    counted, then dealt again in runs of ``RUN``: no task holds them all."""
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+    runs = counted.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / RUN))))
+    dealt = runs.repartition(*rows.columns, "_run")
+    within = F.sequence(F.lit(0).cast("long"), F.least(F.lit(RUN).cast("long"), F.col("_n") - F.col("_run") * RUN) - 1)
+    return dealt.select(*rows.columns, "_run", F.explode(within).alias("_at")).select(*rows.columns, (F.col("_run") * RUN + F.col("_at")).alias("number"))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: int = MAX_REPEAT,
         fan_in: int = FAN_IN, seed: int = SEED) -> DataFrame:
     """(doc_id, row_key, source, size, source_size, target, copies)."""
     scratch = Scratch(docs.sparkSession, "mixing")
-    rows = scratch.save(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                                    F.xxhash64("text").alias("row_key")), "rows")
+    rows = scratch.save(number_repeats(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
+                                                   F.xxhash64("text").alias("row_key"))), "rows")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     targets = scratch.save(source_targets(sizes, weights, max_repeat), "targets")
     joined = (rows.join(maybe_small(targets.withColumnRenamed("source", "_s").drop("n_docs")), F.col("source").eqNullSafe(F.col("_s")))
@@ -162,7 +177,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: int = M
     meets = (F.col("size") > 0) & (F.col("p") > EPS)
     rounded = dependent_rounding(joined.where(meets), scratch, fan_in, seed)
     return (rounded.unionByName(joined.where(~meets).withColumn("p", F.lit(0.0)))
-            .withColumn("copies", (F.col("whole") + F.col("p")).cast("long")).drop("whole", "p"))
+            .withColumn("copies", (F.col("whole") + F.col("p")).cast("long")).drop("whole", "p", "number"))
 
 
 def document_mix(docs: DataFrame, **options) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 import re
 
+from tarn.llm import mixing
 from tarn.llm.mixing import document_mix, mix, op10_pivotal_mix, pivot
 
 SF = "/root/testdata/sf0.001"
@@ -59,6 +60,21 @@ def test_edge_rows(spark, make_docs):
     assert mix(make_docs([])).collect() == [] and document_mix(make_docs([])).collect() == []
 
 
+def test_a_repeated_row_is_dealt_into_many_groups(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN", 64)
+    rows = [(7, "same words here", "en", "a")] * 1000 + [(i, "w " * (1 + i % 5), "en", "b") for i in range(100, 400)]
+    docs = make_docs(rows, extra=True)
+    numbered = mixing.number_repeats(docs.select("doc_id", "text"))
+    assert sorted(r["number"] for r in numbered.where("doc_id = 7").collect()) == list(range(1000))
+    out = mix(docs, fan_in=50).collect()
+    assert len(out) == len(rows)
+    for s in ("a", "b"):
+        own = [r for r in out if r["source"] == s]
+        assert abs(sum(r["copies"] * r["size"] for r in own) - own[0]["target"]) <= max(r["size"] for r in own) / 2 + 1e-6
+    kept = document_mix(docs, fan_in=50)
+    assert kept.columns == docs.columns and kept.count() == sum(r["copies"] for r in out)
+
+
 def test_pivot_keeps_mass_and_expectation():
     rng = random.Random(1)
     for _ in range(200):
