@@ -94,6 +94,7 @@ def hilbert_order(df: DataFrame, dims: list[str], id_col: str, scratch: Scratch,
     if bits * len(dims) > MAX_CELL_BITS:
         raise ValueError(f"at most {MAX_CELL_BITS} bits for all dimensions together")
     k, least, most = rows_per_cell
+    rest = [c for c in df.columns if c not in (*dims, id_col)]
     by_curve = Window.orderBy("hilbert").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     cells = (df.groupBy(*dims).agg(F.count(F.lit(1)).alias("cell_rows"))
@@ -101,11 +102,12 @@ def hilbert_order(df: DataFrame, dims: list[str], id_col: str, scratch: Scratch,
              .withColumn("n_rows", F.sum("cell_rows").over(everything))
              .withColumn("cell_start", F.coalesce(F.sum("cell_rows").over(by_curve), F.lit(0)))
              .withColumn("n_sub", F.ceil(F.col("cell_rows") / F.least(F.greatest(F.col("n_rows") / k, F.lit(least)), F.lit(most)))))
-    hashed = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << HASH_BITS))
+    # all that tells rows apart: null or repeated ids spread by their text
+    hashed = F.pmod(F.xxhash64(F.col(id_col), *rest), F.lit(1 << HASH_BITS))
     placed = (df.join(F.broadcast(cells), [*dims], "inner")        # at most 2^15 cells
               .withColumn("in_cell", hashed)
               .withColumn("sub", F.floor(F.col("in_cell") * F.col("n_sub") / (1 << HASH_BITS))))
-    in_sub = Window.partitionBy("hilbert", "sub").orderBy("in_cell", id_col, *[c for c in df.columns if c not in (*dims, id_col)])
+    in_sub = Window.partitionBy("hilbert", "sub").orderBy("in_cell", id_col, *rest)
     numbered = scratch.save(placed.withColumn("in_sub", F.row_number().over(in_sub) - 1)
                             .drop("cell_rows", "n_sub", "in_cell"), "numbered")
     before = Window.partitionBy("hilbert").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)
