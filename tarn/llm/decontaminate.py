@@ -21,8 +21,9 @@ Finds documents that hold a passage of a benchmark item.
    agree in some block up to one bit, so all pairs within the radius meet.
    A pair is a candidate if one of its fingerprints is within the radius.
    At the threshold itself (cosine 0.894, 26.6 degrees) a fingerprint
-   differs in 9.5 bits on average and in more than 15 for one pair in 40,
-   both for one pair in 1,500; a test measures it.
+   differs in 9.4 bits on average and in more than 15 for one pair in 46,
+   both for one pair in 2,100 (binomial estimate); a test over 500 items
+   asks for 99 % of them.
 4. Candidates are verified exactly: the weight of the item's shingles
    found in the window, over the item's weight, must be ``THRESHOLD`` or
    more. A shingle weighs its count in the item over the number of items
