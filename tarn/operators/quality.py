@@ -24,6 +24,28 @@ def check_dim_variables(dim: DataFrame, key: str = "id",
                        F.count_if(F.col("n_rows") > 1).alias(f"{key}_duplicates"))
 
 
+def violations(rows: DataFrame, key: str = "id",
+               not_null=("id", "variable", "created_at", "agency", "callname"),
+               accepted: dict | None = None, stored_keys: DataFrame | None = None) -> DataFrame:
+    """Q1-Q3 as rows: every row with ``reasons``, the list of the rules it
+    breaks (empty: none): a column that is null, a value outside the accepted
+    ones (NULL passes), a key that stands in several rows (each of them is
+    reported) or that is among ``stored_keys`` (one row a key). A null key
+    breaks not_null, never uniqueness. Repeated keys are counted before they
+    are joined back, so a hot key ships one row per map task."""
+    accepted = accepted if accepted is not None else {"agency": S.ACCEPTED_AGENCIES}
+    reasons = [F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in not_null]
+    reasons += [F.when(F.col(c).isNotNull() & ~F.col(c).isin(*vals), F.lit(f"{c} not accepted")) for c, vals in accepted.items()]
+    repeated = (rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__repeated")).agg(F.count(F.lit(1)).alias("__n"))
+                .where("__n > 1").drop("__n"))
+    out = rows.join(repeated, F.col(key) == F.col("__repeated"), "left")
+    reasons.append(F.when(F.col("__repeated").isNotNull(), F.lit(f"{key} repeats")))
+    if stored_keys is not None:
+        out = out.join(stored_keys.select(F.col(key).alias("__stored")), F.col(key) == F.col("__stored"), "left")
+        reasons.append(F.when(F.col("__stored").isNotNull(), F.lit(f"{key} is stored")))
+    return out.select(*rows.columns, F.array_compact(F.array(*reasons)).alias("reasons"))
+
+
 def failed_checks(checks: DataFrame) -> list[str]:
     """Names of the checks that failed; ``checks`` is their one-row result."""
     row = checks.first().asDict()

@@ -36,13 +36,13 @@ def enrich(obs: DataFrame, sites: DataFrame, transfer: DataFrame) -> DataFrame:
     return j.drop("__agency", "__callname")
 
 
-def build_records(obs: DataFrame, sites: DataFrame, transfer: DataFrame,
+def keyed_records(obs: DataFrame, sites: DataFrame, transfer: DataFrame,
                   keep_params: bool = False, cell_width: int | None = None) -> DataFrame:
-    """Observations -> keyed, deduplicated records, cells whole unless a
-    ``cell_width`` is given (the reference's is ``S.CELL_WIDTH``; core columns
-    plus ``council``, ``created_at`` when present, and ``params`` when
-    ``keep_params``: Catalyst cannot prune fields inside the dedup
-    aggregate, so the open attribute map only travels when asked for)."""
+    """Observations -> keyed records, repeats of a key included (no shuffle
+    where the lookups are broadcast, so it also runs on a stream). Cells are
+    whole unless a ``cell_width`` is given (the reference's is
+    ``S.CELL_WIDTH``); core columns plus ``council``, ``created_at`` when
+    present, and ``params`` when ``keep_params``."""
     j = enrich(obs, sites, transfer)
     t = F.coalesce(F.col("t"), F.lit(S.MISSING_TIME))                      # P11
     # A part missing from the lookups falls back to the raw id instead
@@ -58,8 +58,15 @@ def build_records(obs: DataFrame, sites: DataFrame, transfer: DataFrame,
     out += [F.col("status_code"), truncate_cell("url", cell_width).alias("url"), F.col("council")]
     extra = [c for c in ("created_at", "params") if c in j.columns
              and (c != "params" or keep_params)]
-    rec = j.select(*out, *extra)
-    return keep_first(rec, ["id"], dedup_order())                         # A6
+    return j.select(*out, *extra)
+
+
+def build_records(obs: DataFrame, sites: DataFrame, transfer: DataFrame,
+                  keep_params: bool = False, cell_width: int | None = None) -> DataFrame:
+    """Observations -> keyed, deduplicated records. Catalyst cannot prune
+    fields inside the dedup aggregate, so the open attribute map only
+    travels when asked for."""
+    return keep_first(keyed_records(obs, sites, transfer, keep_params, cell_width), ["id"], dedup_order())   # A6
 
 
 def prepare_for_load(records: DataFrame) -> DataFrame:
@@ -111,5 +118,5 @@ def column_widths(df: DataFrame, max_length: int) -> DataFrame:
     return long.filter(F.col("max_length") > max_length)
 
 
-__all__ = ["enrich", "build_records", "prepare_for_load", "metadata",
+__all__ = ["enrich", "keyed_records", "build_records", "prepare_for_load", "metadata",
            "request_counts", "unmatched_counts", "column_widths", "sanitise_name"]

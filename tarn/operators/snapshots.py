@@ -62,6 +62,17 @@ def wider(a: T.DataType, b: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def as_read(t: T.DataType) -> T.DataType:
+    """The type as files give it back: nested values may be null."""
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(as_read(t.elementType))
+    if isinstance(t, T.MapType):
+        return T.MapType(as_read(t.keyType), as_read(t.valueType))
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, as_read(f.dataType)) for f in t.fields])
+    return t
+
+
 def merged_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
     fields = {f.name: f.dataType for f in old.fields} if old else {}
     for f in new.fields:
@@ -230,6 +241,12 @@ class SnapshotTable:
         """The table at a version (the newest): K1 empty before the first."""
         return self._state(self.manifest(version), buckets).drop(BUCKET)
 
+    def known_keys(self, batch: DataFrame) -> DataFrame:
+        """The table's keys in the buckets of a batch: no other bucket, and
+        no other column, is read."""
+        buckets = [r[0] for r in batch.where(F.col(self.key).isNotNull()).select(key_bucket(self.key, self.buckets).cast("string")).distinct().collect()]
+        return self._state(self.manifest(), buckets, columns=[]).where(F.col(self.key).isNotNull()).select(self.key)
+
     def _replaced(self, m: dict, wanted: dict[str, list[str]]) -> DataFrame:
         """K5 rows hidden in these commits: each state that a later one with
         a different value follows, stamped with the later one's time. As in
@@ -300,7 +317,7 @@ class SnapshotTable:
             source = source.withColumn(PARTITION, F.lower(F.col(PARTITION)))
         source = source.withColumn(BUCKET, F.coalesce(key_bucket(self.key, self.buckets), F.lit("none")))
         columns = [c for c in source.columns if c != BUCKET]
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in source.schema.fields if f.name != BUCKET])
+        schema = T.StructType([T.StructField(f.name, as_read(f.dataType)) for f in source.schema.fields if f.name != BUCKET])
         source = source.withColumn(DIGEST, self._row_digest(columns))
         if batch_tag is not None and batch_tag in self.manifest()["tags"]:
             return self.version()
@@ -385,7 +402,7 @@ class SnapshotTable:
         read the table itself. History and the tags of batches stay."""
         rows = df.drop(BUCKET).withColumn(BUCKET, F.coalesce(key_bucket(self.key, self.buckets), F.lit("none")))
         columns = [c for c in df.columns if c not in (BUCKET, *STAMPS)]
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields if f.name in columns])
+        schema = T.StructType([T.StructField(f.name, as_read(f.dataType)) for f in df.schema.fields if f.name in columns])
         for s in STAMPS:
             if s not in rows.columns:
                 rows = rows.withColumn(s, (_ts(batch_ts) if s == "created_at" else F.lit(None)).cast("timestamp_ntz"))

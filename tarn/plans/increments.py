@@ -114,13 +114,22 @@ def _daily_facts(facts: DataFrame) -> DataFrame:
                         "variable", "councilsiteid", "datetime_var")
 
 
-def _daily_state(rows: DataFrame, numbers: DataFrame) -> DataFrame:
+def daily_aggregates() -> list:
+    """What a group of A2 keeps; every part merges."""
+    return [F.count(F.lit(1)).alias("n"), F.collect_set("variable").alias("variables"),
+            F.bitmap_construct_agg(F.bitmap_bit_position("site_no")).alias("sites"),
+            F.min("datetime_var").alias("min_datetime_var"), F.max("datetime_var").alias("max_datetime_var")]
+
+
+def with_site_numbers(rows: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Rows with the number of their site and the block of the bitmap."""
     numbers = numbers.select(F.col("councilsiteid").alias("__site"), "site_no")
     joined = dim_join(rows, numbers, F.col("councilsiteid") == F.col("__site"), "left")
-    return joined.groupBy(*DAILY_KEYS, F.coalesce(F.bitmap_bucket_number("site_no"), F.lit(0)).alias("block")).agg(
-        F.count(F.lit(1)).alias("n"), F.collect_set("variable").alias("variables"),
-        F.bitmap_construct_agg(F.bitmap_bit_position("site_no")).alias("sites"),
-        F.min("datetime_var").alias("min_datetime_var"), F.max("datetime_var").alias("max_datetime_var"))
+    return joined.withColumn("block", F.coalesce(F.bitmap_bucket_number("site_no"), F.lit(0)))
+
+
+def _daily_state(rows: DataFrame, numbers: DataFrame) -> DataFrame:
+    return with_site_numbers(rows, numbers).groupBy(*DAILY_KEYS, "block").agg(*daily_aggregates())
 
 
 def daily_state(facts: DataFrame, numbers: DataFrame) -> DataFrame:

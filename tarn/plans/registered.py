@@ -473,6 +473,66 @@ def q_checks(spark, sf):
     return check_dim_variables(marts.dim_variables(td.raw_records(spark, sf), td.transfer_table(spark, sf)))
 
 
+DIM_SQL = Q_SQL[:Q_SQL.index("SELECT count(*) AS n_rows")]
+
+
+@register("Q1_Q3_violations", DIM_SQL + """
+SELECT id, variable, created_at, agency, callname, concat_ws(';',
+    CASE WHEN id IS NULL THEN 'id is null' END, CASE WHEN variable IS NULL THEN 'variable is null' END,
+    CASE WHEN created_at IS NULL THEN 'created_at is null' END, CASE WHEN agency IS NULL THEN 'agency is null' END,
+    CASE WHEN callname IS NULL THEN 'callname is null' END,
+    CASE WHEN agency IS NOT NULL AND agency NOT IN ('ac', 'ecan', 'es', 'gw', 'hbrc', 'hrc', 'nrc', 'orc', 'wrc') THEN 'agency not accepted' END,
+    CASE WHEN id IN (SELECT id FROM dim WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1) THEN 'id repeats' END) AS reasons
+FROM dim WHERE reasons <> ''""")
+def q_violations(spark, sf):
+    """The rows behind the counts of the declared checks, with their reasons."""
+    from tarn.operators.quality import violations
+    dim = marts.dim_variables(td.raw_records(spark, sf), td.transfer_table(spark, sf))
+    return violations(dim).where(F.size("reasons") > 0).withColumn("reasons", F.array_join("reasons", ";"))
+
+
+CHECKED_CUT = "2024-01-20"
+CHECKED_AGENCIES = [f"nation_{i}" for i in range(20)]     # the councils that the checked load accepts
+
+
+@register("Q1_Q3_checked_load", DIM_SQL + f""",
+parts AS (SELECT id, variable, agency, callname, created_at < TIMESTAMP '{CHECKED_CUT}' AS old, right(id, 1) = '7' AS again FROM dim),
+arrived AS (SELECT 'first' AS batch_tag, id, variable, agency, callname FROM parts WHERE old
+  UNION ALL SELECT 'second', id, variable, agency, callname FROM parts WHERE NOT old OR again
+  UNION ALL SELECT 'second', id, variable, agency, callname FROM parts WHERE NOT old AND right(id, 1) = '3'),
+ruled AS (SELECT *, count(*) OVER (PARTITION BY batch_tag, id) AS n,
+    concat_ws(';', CASE WHEN agency IS NULL THEN 'agency is null' END, CASE WHEN callname IS NULL THEN 'callname is null' END,
+      CASE WHEN agency NOT IN ({', '.join(f"'{a}'" for a in CHECKED_AGENCIES)}) THEN 'agency not accepted' END) AS rules FROM arrived),
+kept_first AS (SELECT id FROM ruled WHERE batch_tag = 'first' AND rules = '' AND n = 1),
+judged AS (SELECT batch_tag, id, variable, agency, callname, concat_ws(';', nullif(rules, ''), CASE WHEN n > 1 THEN 'id repeats' END,
+    CASE WHEN batch_tag = 'second' AND id IN (SELECT id FROM kept_first) THEN 'id is stored' END) AS reasons FROM ruled)
+SELECT batch_tag, id, variable, agency, callname, reasons, count(*) AS n_rows FROM judged WHERE reasons <> '' GROUP BY ALL
+UNION ALL SELECT 'loaded', id, variable, agency, callname, '', 1 FROM judged WHERE reasons = ''""")
+def q_checked_load(spark, sf):
+    """Two loads into a checked table: the second brings stored ids again
+    and repeats some of its own. What stayed out, with reasons, and what the
+    table holds in the end."""
+    import uuid
+
+    from tarn.operators.snapshots import SnapshotTable
+    from tarn.plans.loads import load_checked
+    from tarn.session import scratch_dir
+    base = scratch_dir(spark, f"checked-{uuid.uuid4().hex}")
+    table, bad = SnapshotTable(spark, f"{base}/dim"), SnapshotTable(spark, f"{base}/quarantine", key="row_id")
+    dim = marts.dim_variables(td.raw_records(spark, sf), td.transfer_table(spark, sf))
+    old, again, twice = F.col("created_at") < F.lit(CHECKED_CUT).cast("timestamp_ntz"), F.col("id").endswith("7"), F.col("id").endswith("3")
+    first = dim.where(old)
+    second = dim.where(~old | again).unionByName(dim.where(~old & twice))
+    rules = {"not_null": ("id", "variable", "agency", "callname"), "accepted": {"agency": CHECKED_AGENCIES}}
+    load_checked(first.drop("created_at"), table, bad, "2024-01-20 00:00:00", "first", **rules)
+    for _ in range(2):                                    # the second time changes nothing
+        load_checked(second.drop("created_at"), table, bad, "2024-02-20 00:00:00", "second", **rules)
+    held = table.read().select(F.lit("loaded").alias("batch_tag"), "id", "variable", "agency", "callname", F.lit("").alias("reasons"), F.lit(1).cast("long").alias("n_rows"))
+    field = lambda c: F.get_json_object("bad_row", f"$.{c}").alias(c)
+    out = bad.read().select("batch_tag", F.col("bad_key").alias("id"), field("variable"), field("agency"), field("callname"), "reasons", "n_rows")
+    return out.unionByName(held)
+
+
 def backfill_requests(spark, sf):
     """Each order is a backfill request: its customer's council, the order
     date to the last ship date, the return flags as parameters and the
@@ -637,6 +697,19 @@ def q_counts(spark, sf):
     return request_counts(td.observations(spark, sf))
 
 
+@register("A4_observed_load", f"SELECT count(DISTINCT url) AS n_requests, count(*) FILTER (WHERE error IS NOT NULL) AS n_failed FROM ({O.S1}) x")
+def q_observed(spark, sf):
+    """A4's counts as observed while the landed responses were loaded."""
+    import uuid
+
+    from tarn.operators.snapshots import SnapshotTable
+    from tarn.plans.loads import load_responses
+    from tarn.session import scratch_dir
+    table = SnapshotTable(spark, scratch_dir(spark, f"observed-{uuid.uuid4().hex}/lwq_data"))
+    counts = load_responses(td.landed_responses(spark, sf), td.sites_latest(spark, sf), td.transfer_table(spark, sf), table, "2024-02-01 00:00:00", "load")
+    return spark.createDataFrame([(counts["n_requests"], counts["n_failed"])], "n_requests long, n_failed long")
+
+
 K8_CUT = "2024-01-20"
 
 
@@ -820,3 +893,30 @@ def q_streaming(spark, sf):
     from tarn.operators.store import read
     return read(spark, table).select("id", "t", "site", "lawasiteid", "lawaname", "variable",
                                             "value", "error", "status_code", "url", "council")
+
+
+WAVES = ("2024-02-01 06:00:00", "2024-02-02 06:00:00")      # load times of the two waves
+
+
+@register("T1_stream_diagnostics", A2_SQL.replace(O.RECORDS, O.STREAMED.replace("CAST(NULL AS TIMESTAMP) AS created_at", f"""
+    CASE WHEN regexp_extract(x.url, 'From=([0-9-]+)', 1) < '{STREAM_LATE_BEFORE}' THEN TIMESTAMP '{WAVES[1]}' ELSE TIMESTAMP '{WAVES[0]}' END AS created_at""")))
+def q_stream_diagnostics(spark, sf):
+    """A2 kept by a stateful stream over two waves of landed responses, the
+    older periods second, and a restart with nothing new."""
+    import uuid
+
+    from tarn.plans.increments import number_sites
+    from tarn.session import scratch_dir
+    from tarn.streaming.diagnostics import diagnostics_table, read_diagnostics, stream_diagnostics
+    base = scratch_dir(spark, f"diagnostics-{uuid.uuid4().hex}")
+    landed = td.landed_responses(spark, sf)
+    sites, transfer = td.sites_latest(spark, sf), td.transfer_table(spark, sf)
+    number_sites(sites).write.parquet(f"{base}/numbers")      # kept: a site's number must not change
+    numbers = spark.read.parquet(f"{base}/numbers")
+    table = diagnostics_table(spark, f"{base}/table")
+    late = F.col("date_start") < STREAM_LATE_BEFORE
+    for ts, part in ((WAVES[0], ~late), (WAVES[1], late), (WAVES[1], None)):
+        if part is not None:
+            landed.where(part).withColumn("created_at", F.lit(ts).cast("timestamp_ntz")).write.mode("append").parquet(f"{base}/landing")
+        stream_diagnostics(spark, f"{base}/landing", table, f"{base}/checkpoint", sites, transfer, numbers, ts)
+    return read_diagnostics(table).withColumn("variables", F.array_join("variables", ","))

@@ -44,3 +44,50 @@ def test_a_new_checkpoint_loses_no_history(spark, tmpdir_path):
     ids = read(spark, table).count()
     assert {r["value"] for r in read(spark, table).collect()} == {"3"}
     assert read(spark, hist).groupBy("value").count().orderBy("value").collect() == [("1", ids), ("2", ids)]
+
+
+def test_diagnostics_of_a_stateful_stream(spark, tmpdir_path, monkeypatch):
+    """Two loads, the older periods second, some responses landed twice,
+    one file a trigger; a batch that fails after its write, and restarts."""
+    import pytest
+    from tarn.plans import increments as inc
+    from tarn.plans.marts import fact_records, fact_summary_errors
+    from tarn.streaming import diagnostics as D
+
+    sites, transfer = td.sites_latest(spark, SF_SMALL), td.transfer_table(spark, SF_SMALL)
+    landed = td.landed_responses(spark, SF_SMALL).repartition(2, "url").cache()
+    late, again = F.col("date_start") < "2024-01-15", F.col("site").endswith("7")
+    at = lambda df, day: df.withColumn("created_at", F.lit(f"2024-03-0{day} 06:00:00").cast("timestamp_ntz"))
+    loads = [at(landed.where(~late), 1), at(landed.where(late | again), 2)]
+    land, ck = (os.path.join(tmpdir_path, n) for n in ("landing", "ck"))
+    table, numbers = D.diagnostics_table(spark, os.path.join(tmpdir_path, "a2")), inc.number_sites(sites)
+    run = lambda: D.stream_diagnostics(spark, land, table, ck, sites, transfer, numbers, "2024-03-05 00:00:00", max_files=1)
+
+    def rows(df):
+        return sorted((tuple(str(r[c]) for c in sorted(df.columns)) for r in df.collect()), key=str)
+
+    def want(df):
+        firsts = prepare_for_load(build_records(explode_responses(df), sites, transfer))
+        return rows(fact_summary_errors(fact_records(firsts, sites, with_clock=False)))
+
+    loads[0].write.mode("append").parquet(land)
+    run()
+    assert rows(D.read_diagnostics(table)) == want(loads[0])
+
+    loads[1].write.mode("append").parquet(land)
+    whole = table.upsert
+
+    def written_then_lost(*args, **kw):
+        whole(*args, **kw)
+        raise RuntimeError("driver lost")
+    monkeypatch.setattr(table, "upsert", written_then_lost)
+    with pytest.raises(Exception, match="driver lost"):
+        run()
+    monkeypatch.setattr(table, "upsert", whole)
+    run()
+    # a record keeps the day of its first load
+    everything = loads[0].unionByName(at(landed.where(late), 2))
+    assert rows(D.read_diagnostics(table)) == want(everything)
+    before = rows(table.read())
+    run()
+    assert rows(table.read()) == before
