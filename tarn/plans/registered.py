@@ -645,6 +645,34 @@ def q_metadata(spark, sf):
     return metadata(build_records(td.observations(spark, sf), td.sites_latest(spark, sf), td.transfer_table(spark, sf), keep_params=True))
 
 
+@register("R2_K7_typed_attributes", "WITH " + O.RECORDS + """
+SELECT id, event_id AS "EventId", regexp_replace(props, '[^\\w\\s]', '', 'g') AS "Props",
+  CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 100 AS DOUBLE) ELSE event_id % 100 + 0.5 END AS "Depth",
+  CASE WHEN event_id % 2 = 0 THEN '' ELSE 'T' END || CAST(event_id AS VARCHAR) AS "Tag"
+FROM ranked WHERE rn = 1 AND error IS NULL""")
+def q_typed_attributes(spark, sf):
+    """The open attributes as typed columns, in two loads: the second brings
+    decimals to a column of integers and words to another, and both widen."""
+    import uuid
+
+    from tarn.operators.attributes import load_attributes, profile_table
+    from tarn.operators.snapshots import SnapshotTable
+    from tarn.session import scratch_dir
+    kv = q_metadata(spark, sf)
+    event = kv.where("name = 'EventId'").select("id", F.col("value").alias("e"), (F.col("value").cast("long") % 2 == 0).alias("even"))
+    number = F.col("e").cast("long")
+    depth = F.concat((number % 100).cast("string"), F.when(F.col("even"), F.lit("")).otherwise(F.lit(".5")))
+    label = F.concat(F.when(F.col("even"), F.lit("")).otherwise(F.lit("T")), F.col("e"))
+    more = event.select("id", "even", F.explode(F.create_map(F.lit("EventId"), F.col("e"), F.lit("Depth"), depth, F.lit("Tag"), label)).alias("name", "value"))
+    rest = kv.where("name <> 'EventId'").join(event.select("id", "even"), "id").select("id", "even", "name", "value")
+    whole = more.unionByName(rest)
+    base = scratch_dir(spark, f"attributes-{uuid.uuid4().hex}")
+    table, profiles = SnapshotTable(spark, f"{base}/table"), profile_table(spark, f"{base}/profiles")
+    load_attributes(whole.where("even").drop("even"), table, profiles, "2024-01-01 00:00:00", "first")
+    load_attributes(whole.where("NOT even").drop("even"), table, profiles, "2024-01-02 00:00:00", "second")
+    return table.read().select("id", "EventId", "Props", "Depth", "Tag")
+
+
 @register("P10_truncate_compat", "SELECT doc_id, left(text, 253) AS text, CAST(length(left(text, 253)) AS INTEGER) AS width FROM documents")
 def q_truncate_compat(spark, sf):
     """The reference's cell width, on texts that exceed it."""
