@@ -25,9 +25,11 @@ are first held against its smallest probing member; after components of
 those links are known, pairs of one key that still lie in different
 components are looked at: all of them in a key with few members, and in a
 larger one first those that look nearest, until a last round takes all
-that are left. Parity sketches (four bits per shingle) rule out pairs
-exactly, so sets are only brought together for pairs that are nearly
-similar; a key with many members is compared block by block. Nothing is
+that are left. A key whose pairs were all looked at is settled (components
+only grow), so a later round takes the keys that left some, and no others.
+Parity sketches (a bit or two per shingle) rule out pairs exactly, so sets
+are only brought together for pairs that are nearly similar; a key with
+many members is compared block by block. Nothing is
 capped: a group of thousands of near copies costs a star and the nearest
 pairs of what the star missed, not all pairs.
 
@@ -218,10 +220,12 @@ def _sets(k: int):
 
 def sketch(own: np.ndarray) -> bytes:
     """Parity bitmap of a set: every shingle flips the bit that its hash
-    names, of at least four bits per shingle (a power of two). Two bitmaps
+    names, of at least one bit per shingle (a power of two). Two bitmaps
     differ in no more bits than the sets differ in shingles; a longer one
-    is folded onto a shorter one first."""
-    bits = max(64, 1 << (4 * len(own) - 1).bit_length())
+    is folded onto a shorter one first. Unrelated sets differ in half the
+    bits, linked ones in no more than ``hamming``: more bits would rule out
+    few more pairs, and sketches are most of what the join moves."""
+    bits = max(64, 1 << (len(own) - 1).bit_length())
     parity = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
     return np.packbits(parity, bitorder="little").tobytes()
 
@@ -275,7 +279,7 @@ def _by_group(batches, key: str, columns: list[str]):
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _PAIRS_DDL = "a long, b long"
-_MORE = (-1, -1)                     # says that a task left pairs for another round
+_MORE = -1                           # (_MORE, key): the key left pairs for another round
 
 
 def _sent(pairs, size: int = 50_000):
@@ -302,13 +306,15 @@ def _small_groups():
 
 
 def _large_groups(percent: int, nearest: int | None):
-    """Rows (group, side, sid, probed, root, n, sketch) sorted by group ->
-    pairs of a group in different components, one of them probing, that may
-    link: of every member outside the group's largest component its
-    ``nearest`` ones by sketch (None: all). A group is a key's members or
-    two of its blocks (sides 0 and 1), of which pairs across are taken."""
+    """Rows (group, key, side, sid, probed, root, n, sketch) sorted by group
+    -> pairs of a group in different components, one of them probing, that
+    may link: of every member outside the group's largest component its
+    ``nearest`` ones by sketch (None: all), and ``_MORE`` with the key where
+    it has more. A group is a key's members or two of its blocks (sides 0
+    and 1), of which pairs across are taken."""
     def of(rows):
-        rows = [(s, x, p, r, n, *_bits(raw)) for s, x, p, r, n, raw in rows]
+        key = rows[0][0]
+        rows = [(s, x, p, r, n, *_bits(raw)) for _, s, x, p, r, n, raw in rows]
         sizes: dict = {}
         for row in rows:
             sizes[row[3]] = sizes.get(row[3], 0) + 1
@@ -324,12 +330,12 @@ def _large_groups(percent: int, nearest: int | None):
                         near.append((d, y))
             if nearest is not None and len(near) > nearest:
                 near = heapq.nsmallest(nearest, near)
-                yield _MORE
+                yield _MORE, key
             for _, y in near:
                 yield (x, y) if x < y else (y, x)
 
     def pairs(batches):
-        for rows in _by_group(batches, "group", ["side", "sid", "probed", "root", "n", "sketch"]):
+        for rows in _by_group(batches, "group", ["key", "side", "sid", "probed", "root", "n", "sketch"]):
             yield from of(rows)
     return (lambda batches: _sent(pairs(batches))), _PAIRS_DDL
 
@@ -384,16 +390,19 @@ def _components(docs: DataFrame, k: int, percent: int, block_rows: int = BLOCK_R
     tested = scratch.save(_near(star, sketches, percent), "star")
     links = scratch.save(_verified(tested, rows, reps, scratch, "star", k, percent), "links")
     roots = connected_components(links, scratch, "first")
+    left = met                                         # what may still hold pairs not looked at
     for number, nearest in enumerate((NEAREST, 8 * NEAREST, None)):
-        found = scratch.save(_cross_pairs(met, roots, sketches, percent, nearest, block_rows, small_rows)
+        found = scratch.save(_cross_pairs(left, roots, sketches, percent, nearest, block_rows, small_rows)
                              .join(tested, ["a", "b"], "left_anti"), f"cross{number}")
         pairs = found.where("a >= 0")
         more = scratch.save(_verified(pairs, rows, reps, scratch, f"cross{number}", k, percent), f"more{number}")
         if not more.isEmpty():
             links = links.unionByName(more)
             roots = connected_components(links, scratch, f"next{number}")
-        if found.where("a < 0").isEmpty():
+        again = found.where(F.col("a") == _MORE).select(F.col("b").alias("key"))
+        if again.isEmpty():
             break
+        left = scratch.save(left.join(again, "key", "left_semi"), f"left{number}")
         tested = tested.unionByName(pairs)
 
     named = reps.select("sid", "first_id").join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid"))
@@ -421,9 +430,9 @@ def _cross_pairs(met: DataFrame, roots: DataFrame, sketches: DataFrame, percent:
     blocks, mine, other = F.ceil(F.col("size") / block_rows), F.col("mine"), F.col("other")
     large = (mixed.where(F.col("size") > small_rows)
              .select("key", "sid", "root", "probed", F.pmod(F.xxhash64("sid"), blocks).alias("mine"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
-             .select(F.xxhash64("key", F.least(mine, other), F.greatest(mine, other)).alias("group"),
+             .select(F.xxhash64("key", F.least(mine, other), F.greatest(mine, other)).alias("group"), "key",
                      (mine > other).cast("int").alias("side"), "sid", "probed", "root")
-             .join(sketches, "sid").select("group", "side", "sid", "probed", "root", "n", "sketch")
+             .join(sketches, "sid").select("group", "key", "side", "sid", "probed", "root", "n", "sketch")
              .repartition("group").sortWithinPartitions("group").mapInArrow(*_large_groups(percent, nearest)).distinct())
     return _near(small, sketches, percent).unionByName(large).distinct()
 

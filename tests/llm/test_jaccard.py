@@ -140,3 +140,28 @@ def test_rows_of_null_and_repeated_ids_are_told_apart(spark, make_docs):
     assert of(1) == [(1, near[1])] and of(2) == [(2, text[2])] and of(3) == [(0, near[3])] and of(5) == [(None, text[5])]
     assert len(of(0)) == 1 and [d for d, _ in of(4)] == [4]
     assert sorted((r for r in kept if not r[1].strip()), key=str) == sorted([(5, " \n")] * 2 + [(None, "")] * 2, key=str) and len(kept) == 10
+
+
+def test_only_keys_with_pairs_left_are_looked_at_again():
+    import pyarrow as pa
+    from tarn.llm.jaccard import _MORE, _large_groups
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(1, 1 << 63, 200, dtype=np.uint64))
+    near = [np.unique(np.append(base, rng.integers(1, 1 << 63, 2, dtype=np.uint64))) for _ in range(5)]
+    far = [np.unique(rng.integers(1, 1 << 63, 200, dtype=np.uint64)) for _ in range(5)]
+    rows = [(group, key, 0, 10 * group + i, 1, 10 * group + i, len(own), sketch(own))
+            for group, key, sets in ((1, 71, near), (2, 72, far)) for i, own in enumerate(sets)]
+    names = ("group", "key", "side", "sid", "probed", "root", "n", "sketch")
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=list(names))
+
+    def found(nearest):
+        return {p for b in _large_groups(85, nearest)[0]([batch]) for p in zip(*(c.to_pylist() for c in b.columns))}
+    every = {(10 + i, 10 + j) for j in range(5) for i in range(j)}
+    first = found(1)
+    assert (_MORE, 71) in first and (_MORE, 72) not in first and first - {(_MORE, 71)} < every
+    assert found(None) == every
+
+
+def test_sketches_take_two_bits_a_shingle_at_most():
+    for n in (1, 50, 400, 3000):
+        assert 8 * len(sketch(np.arange(1, n + 1, dtype=np.uint64))) <= max(64, 2 * n)
