@@ -106,14 +106,20 @@ def dim_sites(records: DataFrame, sites: DataFrame, compat: bool = False) -> Dat
 
 
 def dim_variables(records: DataFrame, transfer: DataFrame, compat: bool = False) -> DataFrame:
-    """J5 + A5: each record id with its variable's transfer row, distinct."""
+    """J5 + A5: each record id with its variable's transfer row, distinct.
+    On the call name alone a record meets the rows of all councils: there
+    both sides are made distinct before the join, whose rows differ then,
+    and not its many rows after it."""
     rec = records.select("id", "variable", "created_at", F.col("council").alias("__rec_council"))
     tr = transfer.select("agency", "callname")
+    if compat:
+        rec, tr = rec.drop("__rec_council").distinct(), tr.distinct()
     cond = rec["variable"] == tr["callname"]
     if not compat:
         cond = cond & (rec["__rec_council"] == tr["agency"])
     j = dim_join(rec, tr, cond, "left")
-    return j.select(rec["id"], rec["variable"], rec["created_at"], tr["agency"], tr["callname"]).distinct()
+    out = j.select(rec["id"], rec["variable"], rec["created_at"], tr["agency"], tr["callname"])
+    return out if compat else out.distinct()
 
 
 def dim_error(records: DataFrame, with_clock: bool = True) -> DataFrame:

@@ -140,3 +140,17 @@ def test_unpivot(spark):
     df = spark.createDataFrame([(1, "a", 3)], "id int, x string, n int")
     got = sorted(tuple(r) for r in marts.unpivot_metadata(df).collect())
     assert got == [(1, "n", "3"), (1, "x", "a")]
+
+
+def test_call_names_alone_are_joined_without_a_distinct_of_the_many_rows(spark):
+    from tarn.plans.marts import dim_variables
+    rec = spark.createDataFrame([("a", "tn", "x", 1), ("a", "tn", "y", 1), ("a", "tn", "x", 1), ("b", None, None, 2), ("b", None, "x", 2), (None, "zz", "x", None)],
+                                "id string, variable string, council string, created_at long")
+    transfer = spark.createDataFrame([("x", "tn"), ("y", "tn"), ("x", "tn"), (None, "tn"), ("x", None)], "agency string, callname string")
+    out = dim_variables(rec, transfer, compat=True)
+    tn = [("a", "tn", 1, agency, "tn") for agency in ("x", "y", None)]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([*tn, ("b", None, 2, None, None), (None, "zz", None, None, None)], key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not plan.lstrip().startswith("Aggregate")      # the distinct rows are made before the join
+    assert sorted(map(tuple, dim_variables(rec, transfer).collect()), key=str) == sorted(
+        [("a", "tn", 1, "x", "tn"), ("a", "tn", 1, "y", "tn"), ("b", None, 2, None, None), (None, "zz", None, None, None)], key=str)
