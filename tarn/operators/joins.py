@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_BYTES = 16 * 1024 * 1024
 # Upper bound for a counted broadcast.
 DEFAULT_BROADCAST_ROWS = 10_000
+# Stored (Parquet) bytes that one task groups or sorts, and up to how many
+# such tasks the number is left to Spark.
+TASK_BYTES = 4 * 1024 * 1024
+FEW_TASKS = 16
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -46,6 +50,15 @@ def few_rows(df: DataFrame, most: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def spread(df: DataFrame, size: int, *keys) -> DataFrame:
+    """``df`` dealt by ``keys`` into as many tasks as its ``size`` in stored
+    bytes asks for, so that what one task sorts does not grow with the
+    table; a small one is left to Spark's own number of tasks. Groupings,
+    windows and joins by these keys need no other shuffle."""
+    tasks = -(-size // TASK_BYTES)
+    return df.repartition(tasks, *keys) if tasks > FEW_TASKS else df
+
+
 def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
              max_bytes: int | None = None) -> DataFrame:
     """Join a fact-sized frame to a dimension-sized one.

@@ -39,7 +39,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarn.operators.joins import spread
 from tarn.operators.store import BUCKET, PARTITION, _digest, _fs, _remove, _ts, key_bucket, prepare_values
+from tarn.session import scratch_dir
 
 COMMIT, SEQ, DIGEST = "commit", "__seq", "__digest"
 STAMPS = ("created_at", "updated_at")
@@ -197,6 +199,11 @@ class SnapshotTable:
                     out.setdefault(commit, []).append(b)
         return out
 
+    @staticmethod
+    def _bytes(m: dict, buckets=None) -> int:
+        """Stored bytes of the buckets (all)."""
+        return sum(size for b, own in m["buckets"].items() if buckets is None or b in buckets for _, size in own)
+
     # -- reading -------------------------------------------------------------
 
     def _schema(self, m: dict) -> T.StructType:
@@ -225,7 +232,8 @@ class SnapshotTable:
             partial = {c: h for c in rest if (h := self._has(m, c)) is not None}
             whole = [c for c in rest if c not in partial]
             newest = F.struct(*whole, "updated_at", COMMIT, *([DIGEST] if digest else []))
-            got = (rows.where(F.col(self.key).isNotNull()).groupBy(BUCKET, self.key)
+            size = self._bytes(m, {b for own in several.values() for b in own})
+            got = (spread(rows.where(F.col(self.key).isNotNull()), size, self.key).groupBy(BUCKET, self.key)
                    .agg(F.max_by(newest, SEQ).alias("__new"), F.min_by("created_at", SEQ).alias("created_at"), F.count(F.lit(1)).alias("__n"),
                         *[F.max_by(c, F.when(h, F.col(SEQ))).alias(c) for c, h in partial.items()]))
             got = got.withColumn(COMMIT, F.col(f"__new.{COMMIT}"))
@@ -256,6 +264,7 @@ class SnapshotTable:
         time = self._by_commit(m, lambda i: i["ts"], "timestamp_ntz")
         rows = (self._scan("data", wanted, m, schema, STAMPS).where(F.col(self.key).isNotNull())
                 .withColumn(SEQ, self._by_commit(m, lambda i: i["seq"], "long")).withColumn("__ts", time))
+        rows = spread(rows, self._bytes(m, {b for own in wanted.values() for b in own}), self.key)
         order = Window.partitionBy(BUCKET, self.key).orderBy(SEQ)
         filled = [(F.col(c) if (h := self._has(m, c)) is None or c == self.key
                    else F.last(F.when(h, F.struct(F.col(c).alias("x"))), ignorenulls=True).over(order)["x"]).alias(c) for c in data]
@@ -274,13 +283,17 @@ class SnapshotTable:
     def changes(self, after: int, until: int | None = None) -> DataFrame:
         """Keys that batches wrote between two versions: (key, ``old``,
         ``new``): the rows before and after, as structs, NULL where absent.
-        Reads the touched buckets only."""
+        Reads the touched buckets only. Either side's rows are written to the
+        shared folder, and so are the changes: marts read them several times,
+        and no task holds all of the joins' sorts at once."""
         old, new = self.manifest(after), self.manifest(until)
         if new.get("rebuilt", 0) > after:
             raise ValueError("the table was rebuilt in between: take all of it")
         batches = {c: i["batch"] for c, i in new["commits"].items() if i.get("batch") and old["seq"] < i["seq"] <= new["seq"]}
         buckets = {b for own in batches.values() for b in own}
-        keys = self._scan("data", batches, new, T.StructType([self._schema(new)[self.key]])).where(F.col(self.key).isNotNull()).select(self.key).distinct()
+        size = self._bytes(new, buckets)
+        keys = self._scan("data", batches, new, T.StructType([self._schema(new)[self.key]])).where(F.col(self.key).isNotNull()).select(self.key)
+        keys = spread(keys, size, self.key).distinct()
         names = [*self._schema(new).fieldNames(), *STAMPS]
         if not old["schema"]:
             before = self._state(new, buckets=[])
@@ -288,9 +301,17 @@ class SnapshotTable:
             before = self._state(old, buckets)
         for f in self._schema(new).fields:
             before = before.withColumn(f.name, (F.col(f.name) if f.name in before.columns else F.lit(None)).cast(f.dataType))
-        pick = lambda df, name: df.join(keys, self.key, "left_semi").select(F.col(self.key).alias(f"__{name}"), F.struct(*names).alias(name))
-        joined = pick(before, "old").join(pick(self._state(new, buckets), "new"), F.col("__old") == F.col("__new"), "full_outer")
-        return joined.select(F.coalesce("__new", "__old").alias(self.key), "old", "new")
+        base = scratch_dir(self.spark, f"changes-{uuid.uuid4().hex}")
+
+        def save(df: DataFrame, name: str) -> DataFrame:
+            df.write.parquet(f"{base}/{name}")
+            return self.spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+        pick = lambda df, name: save(spread(df, size, self.key).join(keys, self.key, "left_semi")
+                                     .select(F.col(self.key).alias(f"__{name}"), F.struct(*names).alias(name)), name)
+        was, now = pick(before, "old"), pick(self._state(new, buckets), "new")
+        joined = spread(was, size, "__old").join(spread(now, size, "__new"), F.col("__old") == F.col("__new"), "full_outer")
+        return save(joined.select(F.coalesce("__new", "__old").alias(self.key), "old", "new"), "changes")
 
     # -- writing -------------------------------------------------------------
 

@@ -204,3 +204,17 @@ def test_vacuum_and_empty(spark, table):
     table.upsert(batch(spark, *BATCHES[3]), TS[4], "t3")
     table.upsert(batch(spark, schema=REC), TS[5], "t4")
     assert len(table.manifest()["tags"]) == 5 and len(rows(table.read())) == 6
+
+
+def test_grouping_and_joining_tasks_grow_with_the_stored_bytes(spark, table, monkeypatch):
+    from tarn.operators import joins
+    v1 = table.upsert(batch(spark, *BATCHES[0]), TS[0], compact=False)
+    v2 = table.upsert(batch(spark, *BATCHES[1]), TS[1], compact=False)
+    plain = rows(table.read()), rows(table.history()), sorted(map(str, table.changes(v1, v2).collect()))
+    monkeypatch.setattr(joins, "TASK_BYTES", 1 + table._bytes(table.manifest()) // 7)
+    monkeypatch.setattr(joins, "FEW_TASKS", 2)
+    for df in (table.read(), table.history()):
+        assert "RepartitionByExpression [id" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert (rows(table.read()), rows(table.history()), sorted(map(str, table.changes(v1, v2).collect()))) == plain
+    table.compact(every=True)
+    assert (rows(table.read()), rows(table.history())) == plain[:2]
