@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tarn.operators.joins import dim_join, few_rows
 from tarn.plans.marts import SUMMARY_KEYS
+from tarn.session import written
 
 DAILY_KEYS = ["created_at_date", "council", "error"]
 SUM_TYPE = "decimal(38,10)"
@@ -67,7 +68,9 @@ def update_summary(state: DataFrame, old: DataFrame, new: DataFrame, sites: Data
     away, and not at all where there is none."""
     values = ("n", "total", *_HIGH, *_LOW)
     part = lambda df, role: df.select(*SUMMARY_KEYS, F.lit(role).alias("__role"), *values)
-    parts = part(state, 0).unionByName(part(summary_state(new, sites), 1)).unionByName(part(summary_state(old, sites), -1))
+    # written one by one: a union would sort for all their joins in one task
+    state, added, gone = (written(s, "summary") for s in (state, summary_state(new, sites), summary_state(old, sites)))
+    parts = part(state, 0).unionByName(part(added, 1)).unionByName(part(gone, -1))
     of = lambda role, c: F.max(F.when(F.col("__role") == role, F.col(c)))
     merged = parts.groupBy(*SUMMARY_KEYS).agg(
         F.sum(F.when(F.col("__role") < 0, -F.col("n")).otherwise(F.col("n"))).alias("n"),
@@ -81,13 +84,13 @@ def update_summary(state: DataFrame, old: DataFrame, new: DataFrame, sites: Data
         reached = F.coalesce(added >= taken if high else added <= taken, F.lit(False))
         lost = lost | (F.coalesce(taken >= kept if high else taken <= kept, F.lit(False)) & ~reached)
         columns.append((F.greatest if high else F.least)(kept, added).alias(c))
-    merged = merged.where("n > 0")
+    merged = written(merged.where("n > 0"), "summary")
     lost_groups = merged.where(lost).select(*SUMMARY_KEYS)
     if lost_groups.isEmpty():
         return merged.select(*SUMMARY_KEYS, "n", "total", *columns)
     lost_groups = few_rows(lost_groups.select(*[F.col(c).alias(f"__g_{c}") for c in SUMMARY_KEYS]))
     again = facts_now.join(lost_groups, [facts_now[c].eqNullSafe(F.col(f"__g_{c}")) for c in SUMMARY_KEYS], "left_semi")
-    return merged.where(~lost).select(*SUMMARY_KEYS, "n", "total", *columns).unionByName(summary_state(again, sites))
+    return merged.where(~lost).select(*SUMMARY_KEYS, "n", "total", *columns).unionByName(written(summary_state(again, sites), "summary"))
 
 
 # -- A2: daily diagnostics -------------------------------------------------------

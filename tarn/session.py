@@ -79,6 +79,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base.rstrip("/"), name)
 
 
+def written(df, label: str):
+    """``df`` written to the shared folder and read back: what reads it does
+    none of its work again, nor in the same tasks."""
+    import uuid
+
+    path = scratch_dir(df.sparkSession, f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored_table(spark: SparkSession, name: str, build, source_dir: str = ""):
     """Read the table ``name`` from the shared folder, writing it from
     ``build()`` first when it is absent.
