@@ -154,3 +154,12 @@ def test_call_names_alone_are_joined_without_a_distinct_of_the_many_rows(spark):
     assert not plan.lstrip().startswith("Aggregate")      # the distinct rows are made before the join
     assert sorted(map(tuple, dim_variables(rec, transfer).collect()), key=str) == sorted(
         [("a", "tn", 1, "x", "tn"), ("a", "tn", 1, "y", "tn"), ("b", None, 2, None, None), (None, "zz", None, None, None)], key=str)
+
+
+def test_summary_states_are_merged_without_the_joins_that_made_them(spark):
+    from tarn.plans import increments as inc
+    facts = marts.fact_records(records(spark), sites(spark), with_clock=False)
+    before = inc.summary_state(facts, sites(spark))
+    out = inc.update_summary(before, facts, facts, sites(spark), facts)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, out.collect())) == sorted(map(str, before.select(*out.columns).collect()))
