@@ -29,7 +29,6 @@ import hashlib
 import re
 import struct
 import zlib
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, read_table
+from .common import Scratch, read_table, text_slices
 
 END_ID = 1
 MAGIC = b"TKF1"
@@ -54,6 +53,8 @@ SAMPLE_DOC_BYTES = 32 << 10
 LEAST_TRAINED = 4 << 10
 LEVEL = 3
 CACHE_PIECES = 1_000_000
+#: New pieces are learned for so many bytes of texts at once (one text at least).
+LEARN_BYTES = 256 << 10
 
 _LETTERS = "a-zß-öø-ÿ"
 # UTF-8 of the characters where the cut is made here: printable ASCII, tab,
@@ -85,42 +86,37 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids = np.empty(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 16, np.int64)     # ends[i]: end of piece i; starts at ends[i - 1]
-        self.used = 0
-
-    def _add(self, key: str, ids) -> None:
-        n, i = len(ids), len(self.place)
-        while self.used + n > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        if i + 1 > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.empty_like(self.ends)])
-        self.ids[self.used: self.used + n] = ids
-        self.used += n
-        self.ends[i] = self.used
-        self.place[key] = i
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = 2 if len(vocabulary) <= 1 << 16 else 4
+        self.dtype = "<u2" if self.width == 2 else "<u4"
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)     # ids that end a piece
+        self.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.place: dict[str, bytes] = {}                                       # ids of a piece, in the files' width
 
     def _learn(self, missing: list[str]) -> None:
         """``missing``: pieces, or stretches marked by a leading NUL."""
         plain = [m for m in missing if m[0] != "\0"]
-        for at in range(0, len(plain), 4096):
-            part = plain[at: at + 4096]
-            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            words = np.array([-1 if w is None else w for w in e.word_ids], np.int64)
-            ids = np.array(e.ids, np.uint32)
-            cuts = np.searchsorted(words, np.arange(len(part) + 1))
-            if len(words) and words[-1] != len(part) - 1:
-                raise ValueError("the vocabulary does not keep pieces apart")
-            for k, piece in enumerate(part):
-                self._add(piece, ids[cuts[k]: cuts[k + 1]])
+        for at in range(0, len(plain), 512):
+            part = plain[at: at + 512]
+            # no offsets are asked for: they cost more than the ids
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                ends = self._ends(part, ids)
+            raw, ends = ids.astype(self.dtype).tobytes(), (ends * self.width).tolist()
+            self.place.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
         odd = [m for m in missing if m[0] == "\0"]
         for m, e in zip(odd, self.tokenizer.encode_batch([m[1:] for m in odd], add_special_tokens=False)):
-            self._add(m, e.ids)
+            self.place[m] = np.array(e.ids, self.dtype).tobytes()
+
+    def _ends(self, part: list[str], ids: np.ndarray) -> np.ndarray:
+        """Where the pieces end, of a vocabulary that does not mark it."""
+        e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+        words = np.array([-1 if w is None else w for w in e.word_ids], np.int64)
+        if len(words) != len(ids) or len(words) and words[-1] != len(part) - 1:
+            raise ValueError("the vocabulary does not keep pieces apart")
+        return np.searchsorted(words, np.arange(len(part)), side="right")
 
     def _pieces(self, text: str) -> list[str]:
         if _safe(text):
@@ -134,25 +130,22 @@ class PieceEncoder:
                     out.append("\0" + stretch)
         return out
 
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a text, as uint32."""
-        pieces = self._pieces(text)
-        if not pieces:
-            return np.empty(0, np.uint32)
-        at = np.array(list(map(self.place.get, pieces, repeat(-1))), np.int64)
-        new = np.flatnonzero(at < 0).tolist()
-        if new:
-            missing = {pieces[i] for i in new}
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text, in the files' width; pieces not met before are
+        learned for all texts at once."""
+        pieces = [self._pieces(t) for t in texts]
+        distinct = set().union(*pieces)
+        missing = distinct.difference(self.place)
+        if missing:
             if len(self.place) + len(missing) > CACHE_PIECES:
-                self.clear()
-                missing, new = set(pieces), range(len(pieces))
+                self.place.clear()
+                missing = distinct
             self._learn(sorted(missing))
-            at[new] = [self.place[pieces[i]] for i in new]
-        ends = self.ends[at]
-        starts = np.where(at > 0, self.ends[at - 1], 0)
-        sizes = ends - starts
-        upto = np.cumsum(sizes)
-        return self.ids[np.repeat(starts - (upto - sizes), sizes) + np.arange(upto[-1])]
+        return [b"".join(map(self.place.__getitem__, p)) for p in pieces]
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text, as uint32."""
+        return np.frombuffer(self.encode_all([text])[0], self.dtype).astype(np.uint32)
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -177,8 +170,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str) -> bytes:
     sample = texts.withColumn("_before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)))
     rows = sample.where(F.col("_before") < SAMPLE_BYTES).select("doc_id", "text").collect()
     enc = encoder(tokenizer_path)
-    dtype = "<u2" if enc.width == 2 else "<u4"
-    return dictionary_of([enc.encode(r["text"]).astype(dtype).tobytes() for r in sorted(rows)])
+    return dictionary_of(enc.encode_all([r["text"] for r in sorted(rows)]))
 
 
 def dictionary_of(samples: list[bytes]) -> bytes:
@@ -242,7 +234,7 @@ def _writer(tokenizer_path: str, dictionary: bytes):
         enc = encoder(tokenizer_path)
         d = _dictionary(dictionary)
         zstd = zstandard.ZstdCompressor(level=LEVEL, dict_data=d) if d else zstandard.ZstdCompressor(level=LEVEL)
-        dict_hash, dtype = hashlib.sha256(dictionary).digest(), "<u2" if enc.width == 2 else "<u4"
+        dict_hash, end = hashlib.sha256(dictionary).digest(), np.array([END_ID], enc.dtype).tobytes()
         number, ids, counts, frames, held = 0, [], [], [], 0
 
         def flush():
@@ -252,12 +244,12 @@ def _writer(tokenizer_path: str, dictionary: bytes):
             number, ids, counts, frames, held = number + 1, [], [], [], 0
             return out
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                tokens = np.append(enc.encode(text.as_py() or ""), np.uint32(END_ID))
-                frame = zstd.compress(tokens.astype(dtype).tobytes())
+        for batch in (part for b in batches for part in text_slices(b, 1, LEARN_BYTES)):
+            for doc_id, tokens in zip(batch.column(0).to_pylist(), enc.encode_all([t or "" for t in batch.column(1).to_pylist()])):
+                tokens += end
+                frame = zstd.compress(tokens)
                 ids.append(doc_id)
-                counts.append(len(tokens))
+                counts.append(len(tokens) // enc.width)
                 frames.append(frame)
                 held += len(frame)
                 if len(ids) >= BLOCK_DOCS or held >= BLOCK_BYTES:

@@ -36,6 +36,31 @@ def test_pieces_agree_with_the_library():
         assert enc.encode(t).tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_new_pieces_are_learned_for_many_texts_at_once(monkeypatch):
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.calls = inner, 0
+
+        def __getattr__(self, name):
+            self.calls += 1
+            return getattr(self.inner, name)
+
+    rng = random.Random(11)
+    texts = [" ".join("".join(rng.choices("abcdeé'T1,", k=rng.randint(1, 9))) for _ in range(12)) for _ in range(200)] + ["", "\x00 odd ²", "a<|endoftext|>b"]
+    enc, tok = PieceEncoder(PATH), Tokenizer.from_file(PATH)
+    expected = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+    def ids():
+        return [np.frombuffer(raw, enc.dtype).tolist() for raw in enc.encode_all(texts)]
+    enc.tokenizer = Counted(tok)
+    assert ids() == expected and 0 < enc.tokenizer.calls < 12       # not once a text
+    assert ids() == expected and enc.tokenizer.calls < 12
+    monkeypatch.setattr("tarn.llm.tokenfiles.CACHE_PIECES", 10)      # forgets before every call
+    enc.last[:] = False                                             # a vocabulary that does not mark a piece's end
+    enc.place.clear()
+    assert ids() == expected and ids() == expected
+
+
 def test_files_and_edges(spark, make_docs):
     rows = [(i, f"text number {i} " * (i % 7)) for i in range(1500)] + [(None, "no id"), (5000, None), (5001, ""), (5002, "long words " * 60000), (5003, "twice"), (5003, "twice")]
     path = Scratch(spark, "test-tokens").base
