@@ -21,17 +21,21 @@ only if nothing else reaches the sum. Keys of other segments are indexed
 but not probed. Every candidate is verified exactly.
 
 Candidates come in rounds, since only components matter: a key's members
-are first held against its smallest probing member; after components of
-those links are known, pairs of one key that still lie in different
-components are looked at: all of them in a key with few members, and in a
-larger one first those that look nearest, until a last round takes all
-that are left. A key whose pairs were all looked at is settled (components
-only grow), so a later round takes the keys that left some, and no others.
+are first held against its smallest probing member, its hub; after
+components of those links are known, pairs of one key that still lie in
+different components are looked at: all of them in a key with few members;
+larger keys of one hub, which near copies share, are one group where that
+makes no more pairs, and of a group's members each outside its largest
+component names those that look nearest. A group where none has more is
+settled. To the others the sets themselves come, and the links that join
+their components are found there, nearest first: a group gives fewer links
+than it has members, however many of its pairs look near.
 Parity sketches (a bit or two per shingle) rule out pairs exactly, so sets
-are only brought together for pairs that are nearly similar; a key with
-many members is compared block by block. Nothing is
-capped: a group of thousands of near copies costs a star and the nearest
-pairs of what the star missed, not all pairs.
+are only brought together for pairs that are nearly similar; a group with
+many members is compared block by block, blocks of its largest component
+with blocks outside it only. Nothing is
+capped: a group of thousands of near copies costs a star and the pairs of
+what the star missed, not all pairs.
 
 Nulls: a null or blank text has an empty set and is linked with nothing
 (its component is its own id); a null id is never a component's name
@@ -43,7 +47,6 @@ task, not one per row.
 
 from __future__ import annotations
 
-import heapq
 import math
 from functools import lru_cache
 
@@ -60,12 +63,14 @@ SHINGLE = 4
 PERCENT = 85
 #: Up to so many document ids may be broadcast (8 bytes each, counted first).
 BROADCAST_IDS = 500_000
-#: A key with more members than this is compared block by block.
+#: A group with more members than this, or with more shingles in all, is
+#: compared block by block.
 BLOCK_ROWS = 4000
+BLOCK_SHINGLES = 2_000_000
 #: Up to so many members of a key, all its pairs are named before their
 #: sketches are brought together; beyond, sketches go to the key.
 SMALL_ROWS = 16
-#: Pairs that a member of a larger key names in each of the first rounds.
+#: Pairs that a member of a larger key names before sets are sent to the key.
 NEAREST = 4
 _ONE = np.uint64(1)
 _SEED = np.uint64(0xD6E8FEB86659FD93)
@@ -305,6 +310,42 @@ def _small_groups():
     return (lambda batches: _sent(pairs(batches))), _PAIRS_DDL
 
 
+class _Sketches:
+    """Sketches of a group's members, folded to every length among them."""
+
+    def __init__(self, raw: list[bytes], sizes, percent: int):
+        self.n, self.percent = np.array(sizes, np.int64), percent
+        self.words = np.array([len(r) // 8 for r in raw], np.int64)
+        self.folded: dict[int, np.ndarray] = {}
+        for w in np.unique(self.words).tolist():
+            rows = np.zeros((len(raw), w), np.uint64)
+            for v in np.unique(self.words[self.words >= w]).tolist():
+                at = np.flatnonzero(self.words == v)
+                own = np.frombuffer(b"".join([raw[i] for i in at.tolist()]), np.uint64).reshape(len(at), v)
+                while own.shape[1] > w:
+                    half = own.shape[1] // 2
+                    own = own[:, :half] ^ own[:, half:]
+                rows[at] = own
+            self.folded[w] = rows
+
+    def near(self, i: int, may: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(members, distances) of those of ``may`` that ``i`` may link with."""
+        n = self.n[i]
+        at = np.flatnonzero(may & (100 * np.minimum(self.n, n) >= self.percent * np.maximum(self.n, n)))
+        short, d = np.minimum(self.words[at], self.words[i]), np.empty(len(at), np.int64)
+        for w in np.unique(short).tolist():
+            own, here = self.folded[w], short == w
+            d[here] = np.bitwise_count(own[at[here]] ^ own[i]).sum(axis=1, dtype=np.int64)
+        keep = d <= hamming(self.n[at], n, self.percent)
+        return at[keep], d[keep]
+
+
+def _outside(roots: np.ndarray) -> list[int]:
+    """Members that are not of a group's largest component."""
+    names, of, sizes = np.unique(roots, return_inverse=True, return_counts=True)
+    return np.flatnonzero(of != len(sizes) - 1 - np.argmax(sizes[::-1])).tolist()
+
+
 def _large_groups(percent: int, nearest: int | None):
     """Rows (group, key, side, sid, probed, root, n, sketch) sorted by group
     -> pairs of a group in different components, one of them probing, that
@@ -314,24 +355,21 @@ def _large_groups(percent: int, nearest: int | None):
     and 1), of which pairs across are taken."""
     def of(rows):
         key = rows[0][0]
-        rows = [(s, x, p, r, n, *_bits(raw)) for _, s, x, p, r, n, raw in rows]
-        sizes: dict = {}
-        for row in rows:
-            sizes[row[3]] = sizes.get(row[3], 0) + 1
-        largest, two_sides = max(sizes, key=lambda r: (sizes[r], r)), any(row[0] for row in rows)
-        for s, x, p, r, n, xs, xb in rows:
-            if r == largest:
-                continue
-            near = []
-            for t, y, q, u, m, ys, yb in rows:
-                if u != r and (p or q) and (not two_sides or s != t) and 100 * min(n, m) >= percent * max(n, m):
-                    d = sketch_distance(xs, xb, ys, yb)
-                    if d <= hamming(n, m, percent):
-                        near.append((d, y))
-            if nearest is not None and len(near) > nearest:
-                near = heapq.nsmallest(nearest, near)
+        side, sid, probed, root = (np.array([r[c] for r in rows], np.int64) for c in range(1, 5))
+        sketches = _Sketches([r[6] for r in rows], [r[5] for r in rows], percent)
+        two_sides = side.any()
+        for i in _outside(root):
+            may = root != root[i]
+            if not probed[i]:
+                may &= probed == 1
+            if two_sides:
+                may &= side != side[i]
+            at, d = sketches.near(i, may)
+            if nearest is not None and len(at) > nearest:
+                at = at[np.lexsort((sid[at], d))[:nearest]]
                 yield _MORE, key
-            for _, y in near:
+            x = int(sid[i])
+            for y in sid[at].tolist():
                 yield (x, y) if x < y else (y, x)
 
     def pairs(batches):
@@ -340,16 +378,48 @@ def _large_groups(percent: int, nearest: int | None):
     return (lambda batches: _sent(pairs(batches))), _PAIRS_DDL
 
 
+def _settled_groups(percent: int):
+    """Rows (group, side, sid, probed, root, shingles) sorted by group ->
+    pairs of a group that link, one of them probing, as few as join the
+    components that all its links join: fewer than its members. Pairs are
+    tested nearest first, and none whose sets are in one component by then."""
+    def of(rows):
+        side, sid, probed, root = (np.array([r[c] for r in rows], np.int64) for c in range(4))
+        sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+        sketches = _Sketches([sketch(own) for own in sets], [len(own) for own in sets], percent)
+        two_sides, wanting = side.any(), np.ones(len(rows), bool)
+        for i in _outside(root):
+            wanting[i] = False                      # its pairs are all looked at now
+            may = wanting & (root != root[i])
+            if not probed[i]:
+                may &= probed == 1
+            if two_sides:
+                may &= side != side[i]
+            at, d = sketches.near(i, may)
+            for j in at[np.argsort(d, kind="stable")].tolist():
+                if root[i] != root[j] and _link(sets[i], sets[j], percent):
+                    root[root == root[j]] = root[i]
+                    yield (int(sid[i]), int(sid[j])) if sid[i] < sid[j] else (int(sid[j]), int(sid[i]))
+
+    def pairs(batches):
+        for rows in _by_group(batches, "group", ["side", "sid", "probed", "root", "shingles"]):
+            yield from of(rows)
+    return (lambda batches: _sent(pairs(batches))), _PAIRS_DDL
+
+
+def _link(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    at = np.searchsorted(y, x)
+    both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _verify(percent: int):
     """(a, b, set of a, set of b) -> pairs that link."""
     def run(batches):
         for batch in batches:
             good = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                good[i] = 100 * both >= percent * (len(x) + len(y) - both)
+                good[i] = _link(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
             keep = pa.array(good)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], schema=_PAIRS)
     return run, _PAIRS_DDL
@@ -390,20 +460,17 @@ def _components(docs: DataFrame, k: int, percent: int, block_rows: int = BLOCK_R
     tested = scratch.save(_near(star, sketches, percent), "star")
     links = scratch.save(_verified(tested, rows, reps, scratch, "star", k, percent), "links")
     roots = connected_components(links, scratch, "first")
-    left = met                                         # what may still hold pairs not looked at
-    for number, nearest in enumerate((NEAREST, 8 * NEAREST, None)):
-        found = scratch.save(_cross_pairs(left, roots, sketches, percent, nearest, block_rows, small_rows)
-                             .join(tested, ["a", "b"], "left_anti"), f"cross{number}")
-        pairs = found.where("a >= 0")
-        more = scratch.save(_verified(pairs, rows, reps, scratch, f"cross{number}", k, percent), f"more{number}")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = connected_components(links, scratch, f"next{number}")
-        again = found.where(F.col("a") == _MORE).select(F.col("b").alias("key"))
-        if again.isEmpty():
-            break
-        left = scratch.save(left.join(again, "key", "left_semi"), f"left{number}")
-        tested = tested.unionByName(pairs)
+    # pairs of one key in different components: all of a small key, the nearest ones of a larger group
+    mixed = scratch.save(_mixed(met, roots), "mixed")
+    small = mixed.where(F.col("size") <= small_rows)
+    groups = scratch.save(_merged(mixed.where(F.col("size") > small_rows), scratch).join(sketches, "sid"), "groups")
+    found = scratch.save(_near(_pairs_of(small), sketches, percent).unionByName(_nearest_pairs(groups, percent, block_rows)).distinct()
+                         .join(tested, ["a", "b"], "left_anti"), "cross")
+    links, roots = _joined(links, roots, _verified(found.where("a >= 0"), rows, reps, scratch, "cross", k, percent), scratch, "more")
+    again = found.where(F.col("a") == _MORE).select(F.col("b").alias("key"))
+    if not again.isEmpty():                            # groups that left pairs: the sets come to the group
+        left = scratch.save(_mixed(groups.join(again, "key", "left_semi").withColumn("hub", F.col("key")), roots, "n"), "left")
+        links, roots = _joined(links, roots, _settled_pairs(left, rows, reps, scratch, k, percent, block_rows), scratch, "last")
 
     named = reps.select("sid", "first_id").join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid"))
     linked = scratch.save(named.where("node IS NOT NULL").select("sid", "root", "first_id"), "linked")
@@ -414,27 +481,78 @@ def _components(docs: DataFrame, k: int, percent: int, block_rows: int = BLOCK_R
             .select("doc_id", "text_key", "n_shingles", "root", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
-def _cross_pairs(met: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int, nearest: int | None,
-                 block_rows: int, small_rows: int) -> DataFrame:
-    """Pairs of one key in different components that may link."""
+def _joined(links: DataFrame, roots: DataFrame, more: DataFrame, scratch: Scratch, label: str) -> tuple[DataFrame, DataFrame]:
+    """(links, roots) with more links."""
+    more = scratch.save(more, label)
+    if more.isEmpty():
+        return links, roots
+    links = links.unionByName(more)
+    return links, connected_components(links, scratch, f"{label}-roots")
+
+
+def _mixed(met: DataFrame, roots: DataFrame, *more: str) -> DataFrame:
+    """(key, hub, sid, more, root, probed, size) of keys whose members lie in different components."""
     of_key = Window.partitionBy("key")
-    mixed = (met.select("key", "sid", "probed").join(roots, F.col("sid") == F.col("node"), "left")
-             .groupBy("key", "sid", F.coalesce("root", "sid").alias("root")).agg(F.max("probed").alias("probed"))     # a task's copies
-             .withColumn("low", F.min("root").over(of_key)).withColumn("high", F.max("root").over(of_key))
-             .withColumn("size", F.count(F.lit(1)).over(of_key))
-             .where("low <> high").drop("low", "high"))
-    # few members: pairs first, sketches for the distinct ones
-    small = (mixed.where(F.col("size") <= small_rows).select("key", "sid", "probed", "root")
-             .repartition("key").sortWithinPartitions("key").mapInArrow(*_small_groups()).distinct())
-    # many members: sketches go to the group; a large key is cut into blocks, and each two blocks are a group
-    blocks, mine, other = F.ceil(F.col("size") / block_rows), F.col("mine"), F.col("other")
-    large = (mixed.where(F.col("size") > small_rows)
-             .select("key", "sid", "root", "probed", F.pmod(F.xxhash64("sid"), blocks).alias("mine"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
-             .select(F.xxhash64("key", F.least(mine, other), F.greatest(mine, other)).alias("group"), "key",
-                     (mine > other).cast("int").alias("side"), "sid", "probed", "root")
-             .join(sketches, "sid").select("group", "key", "side", "sid", "probed", "root", "n", "sketch")
-             .repartition("group").sortWithinPartitions("group").mapInArrow(*_large_groups(percent, nearest)).distinct())
-    return _near(small, sketches, percent).unionByName(large).distinct()
+    return (met.select("key", "hub", "sid", "probed", *more).join(roots, F.col("sid") == F.col("node"), "left")
+            .groupBy("key", "hub", "sid", *more, F.coalesce("root", "sid").alias("root")).agg(F.max("probed").alias("probed"))     # a task's copies
+            .withColumn("low", F.min("root").over(of_key)).withColumn("high", F.max("root").over(of_key))
+            .withColumn("size", F.count(F.lit(1)).over(of_key))
+            .where("low <> high").drop("low", "high"))
+
+
+def _merged(large: DataFrame, scratch: Scratch) -> DataFrame:
+    """Groups (key, sid, root, probed) that hold every pair of the large
+    keys. Near copies share most of their keys, and those have one hub: the
+    keys of a hub are one group where its members make no more pairs than
+    theirs, key by key."""
+    members = large.groupBy("hub", "sid", "root").agg(F.max("probed").alias("probed"), F.sum("size").alias("apart"))
+    hubs = members.groupBy("hub").agg(F.sum("apart").alias("apart"), F.count(F.lit(1)).alias("n")).where("n * n <= apart").select("hub")
+    hubs = scratch.save(hubs, "hubs")
+    return (members.join(hubs, "hub", "left_semi").select(F.xxhash64("hub").alias("key"), "sid", "root", "probed")
+            .unionByName(large.join(hubs, "hub", "left_anti").select(F.xxhash64("hub", "key").alias("key"), "sid", "root", "probed")))
+
+
+def _pairs_of(small: DataFrame) -> DataFrame:
+    """All pairs of keys with few members: sketches are for the distinct ones."""
+    return (small.select("key", "sid", "probed", "root").repartition("key").sortWithinPartitions("key")
+            .mapInArrow(*_small_groups()).distinct())
+
+
+def _nearest_pairs(groups: DataFrame, percent: int, block_rows: int) -> DataFrame:
+    """Of every member its nearest ones in other components, by sketch."""
+    return (_cells(groups, block_rows)
+            .select("group", "key", "side", "sid", "probed", "root", "n", "sketch")
+            .repartition("group").sortWithinPartitions("group").mapInArrow(*_large_groups(percent, NEAREST)).distinct())
+
+
+def _settled_pairs(left: DataFrame, rows: DataFrame, reps: DataFrame, scratch: Scratch, k: int, percent: int, block_rows: int) -> DataFrame:
+    """Links that join the components of each group, by whole sets."""
+    sets = scratch.save(_sets_of(rows, reps.select("sid", "rid"), left.select("sid").distinct(), k), "sets-left")
+    return (_cells(left, block_rows).join(sets, "sid")
+            .select("group", "side", "sid", "probed", "root", "shingles")
+            .repartition("group").sortWithinPartitions("group").mapInArrow(*_settled_groups(percent)).distinct())
+
+
+def _cells(members: DataFrame, block_rows: int) -> DataFrame:
+    """Rows (key, sid, root, probed, n) with the ``group`` in which they are
+    compared: the whole key, or two blocks of a large one (sides 0 and 1).
+    Members of a key's largest component are cut into blocks of their own:
+    they are held against the members outside it, not against each other."""
+    def blocks(rows, n):
+        return F.greatest(F.ceil(rows / block_rows), F.ceil(n / BLOCK_SHINGLES))
+
+    of_root = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"))
+    of_key = of_root.groupBy("key").agg(F.max(F.struct("rows", "root", "n")).alias("top"), F.sum("rows").alias("rows"), F.sum("n").alias("all"))
+    whole = blocks(F.col("rows"), F.col("all")) <= 1
+    of_key = of_key.select("key", F.col("top.root").alias("largest"),
+                           F.when(whole, 1).otherwise(blocks(F.col("rows") - F.col("top.rows"), F.col("all") - F.col("top.n"))).alias("outer"),
+                           F.when(whole, 0).otherwise(blocks(F.col("top.rows"), F.col("top.n"))).alias("inner"))
+    inside, mine, other = (F.col("root") == F.col("largest")) & (F.col("inner") > 0), F.col("mine"), F.col("other")
+    one = F.lit(1).cast("long")
+    return (members.join(of_key, "key")
+            .withColumn("mine", F.when(inside, F.col("outer") + F.pmod(F.xxhash64("sid"), F.greatest("inner", one))).otherwise(F.pmod(F.xxhash64("sid"), F.col("outer"))))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(inside, F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1)))
+            .select(*members.columns, F.xxhash64("key", F.least(mine, other), F.greatest(mine, other)).alias("group"), (mine > other).cast("int").alias("side")))
 
 
 def _sets_of(rows: DataFrame, reps: DataFrame, wanted: DataFrame, k: int) -> DataFrame:

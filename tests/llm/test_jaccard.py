@@ -165,3 +165,65 @@ def test_only_keys_with_pairs_left_are_looked_at_again():
 def test_sketches_take_two_bits_a_shingle_at_most():
     for n in (1, 50, 400, 3000):
         assert 8 * len(sketch(np.arange(1, n + 1, dtype=np.uint64))) <= max(64, 2 * n)
+
+
+def near_copies_of(base, count, most, seed=5):
+    rng = np.random.default_rng(seed)
+    return [np.unique(np.append(base[int(rng.integers(0, most + 1)):], rng.integers(1, 1 << 63, int(rng.integers(0, most + 1)), dtype=np.uint64))) for _ in range(count)]
+
+
+def test_a_group_gives_fewer_links_than_members():
+    import pyarrow as pa
+    from tarn.llm.jaccard import _link, _settled_groups
+    base = np.unique(np.random.default_rng(6).integers(1, 1 << 63, 120, dtype=np.uint64))
+    sets = near_copies_of(base, 60, 14)
+    for sides in ([0] * 60, [i % 2 for i in range(60)]):
+        rows = [(1, sides[i], i, int(i % 3 > 0), i, own.tobytes()) for i, own in enumerate(sets)]
+        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["group", "side", "sid", "probed", "root", "shingles"])
+        found = [p for b in _settled_groups(85)[0]([batch]) for p in zip(*(c.to_pylist() for c in b.columns))]
+        every = [(i, j) for j in range(60) for i in range(j)
+                 if (i % 3 or j % 3) and (len(set(sides)) == 1 or sides[i] != sides[j]) and _link(sets[i], sets[j], 85)]
+
+        def parts(pairs):
+            of = list(range(60))
+            for a, b in pairs:
+                of = [of[a] if c == of[b] else c for c in of]
+            return {frozenset(i for i in range(60) if of[i] == c) for c in of}
+        assert len(every) > 60 > len(found) and set(found) <= set(every) and parts(found) == parts(every)
+
+
+def test_keys_of_one_hub_are_one_group(spark):
+    from tarn.llm.common import Scratch
+    from tarn.llm.jaccard import _merged
+    same = [(key, 1, sid, sid, 1, 30) for key in range(40) for sid in range(1, 31)]        # 40 keys of the same members
+    apart = [(100 + key, 2, 1000 * key + i, 1000 * key + i, i % 2, 30) for key in range(40) for i in range(30)]
+    got = _merged(spark.createDataFrame(same + apart, "key long, hub long, sid long, root long, probed long, size long"), Scratch(spark, "test-merged")).collect()
+    assert len(got) == 30 + 1200 and len({r["key"] for r in got}) == 1 + 40
+
+
+def test_blocks_of_the_largest_component_are_held_against_those_outside(spark):
+    from tarn.llm.jaccard import _cells
+    rows = [(7, i, 0 if i < 300 else i, 1, 10) for i in range(303)]
+    cells = _cells(spark.createDataFrame(rows, "key long, sid long, root long, probed long, n long"), 10).collect()
+    assert len(cells) == 300 + 3 * 31                  # 30 blocks inside, one outside
+    met = {}
+    for r in cells:
+        met.setdefault(r["group"], []).append((r["sid"], r["side"]))
+    pairs = {tuple(sorted((x, y))) for g in met.values() for x, s in g for y, t in g if x != y and (s != t or not any(u for _, u in g))}
+    assert pairs == {(x, y) for y in range(300, 303) for x in range(y)}
+    assert len(_cells(spark.createDataFrame(rows[:10], "key long, sid long, root long, probed long, n long"), 10).collect()) == 10
+
+
+def test_groups_that_left_pairs_are_settled_by_sets(spark, make_docs, monkeypatch):
+    import tarn.llm.jaccard as jaccard
+    monkeypatch.setattr(jaccard, "NEAREST", 1)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 2000)
+    rng, rows = random.Random(8), []
+    for g in range(2):
+        base = [f"g{g}w{i}" for i in range(70)]
+        for i in range(60):
+            own = list(base)
+            for j in rng.sample(range(70), rng.randint(0, 4)):
+                own[j] = f"e{rng.randrange(6)}"
+            rows.append((g * 100 + i, " ".join(own)))
+    assert sorted(map(tuple, similar_components(make_docs(rows), block_rows=20, small_rows=3).collect())) == brute(rows)
